@@ -10,8 +10,9 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows in an Arrow batch; texts may be long, so a batch must hold few of them.
-ROWS_PER_BATCH = 256
+#: Most rows and bytes in an Arrow batch; texts may be long.
+ROWS_PER_BATCH = 1024
+BYTES_PER_BATCH = 8 << 20
 
 
 def work_dir(spark: SparkSession) -> str:
@@ -63,12 +64,15 @@ def _ship(spark: SparkSession) -> None:
 def prepare_python(spark: SparkSession) -> None:
     """Make Python functions runnable: package on the executors, small Arrow batches.
 
-    Lowers the session's Arrow batch size to ROWS_PER_BATCH if it is larger.
+    Lowers the session's batch limits to ROWS_PER_BATCH and BYTES_PER_BATCH if
+    they are larger.
     """
     _ship(spark)
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= ROWS_PER_BATCH:
-        spark.conf.set(key, str(ROWS_PER_BATCH))
+    for key, most in (("maxRecordsPerBatch", ROWS_PER_BATCH), ("maxBytesPerBatch", BYTES_PER_BATCH)):
+        key = f"spark.sql.execution.arrow.{key}"
+        told = spark.conf.get(key).rstrip("bB")
+        if not told.isdigit() or not 0 < int(told) <= most:
+            spark.conf.set(key, str(most))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
