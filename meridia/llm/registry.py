@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import simhash, token_counts, token_store, topk
+from . import bpe_trie, simhash, token_counts, token_store, topk
 from .common import table
 
 
@@ -18,6 +19,11 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = bpe_trie.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return found.select("doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -34,6 +40,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op4_simhash_near_dedup,
+        op5_bpe_encode_decode,
         op7_token_counts,
         op9_exact_top_k,
         op10_token_files,
