@@ -11,10 +11,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_trie, simhash, token_counts, token_store, topk
+from . import bpe_trie, html_extract, language_id, simhash, token_counts, token_store, topk
 from .common import table
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -24,6 +28,10 @@ def op5_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -39,8 +47,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op3_html_extraction,
         op4_simhash_near_dedup,
         op5_bpe_encode_decode,
+        op6_language_id,
         op7_token_counts,
         op9_exact_top_k,
         op10_token_files,
