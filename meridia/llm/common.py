@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 #: Most rows and bytes in an Arrow batch; texts may be long.
 ROWS_PER_BATCH = 1024
 BYTES_PER_BATCH = 8 << 20
+#: Narrow rows that one file of an intermediate table may hold.
+ROWS_PER_FILE = 200_000
 
 
 def work_dir(spark: SparkSession) -> str:
@@ -39,10 +41,16 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: its lineage ends there."""
+def materialise(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: its lineage ends there.
+
+    ``rows``, an upper bound of its rows if one is known, keeps small tables from
+    being written as many tiny files.
+    """
     spark = df.sparkSession
     path = fresh_path(spark, name)
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // ROWS_PER_FILE)))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

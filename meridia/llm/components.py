@@ -47,5 +47,5 @@ def connected_components(edges: DataFrame, left: str = "a", right: str = "b") ->
         if (seen.n, seen.x) == state or seen.n == 0:
             break
         state = (seen.n, seen.x)
-        edges = materialise(_small_star(_large_star(edges)), "stars")
+        edges = materialise(_small_star(_large_star(edges)), "stars", 2 * seen.n)
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -149,7 +149,7 @@ def disclosing(docs: DataFrame, found: DataFrame, text_col: str = "text") -> Dat
     near = found.select("row", "entity", "around", F.explode("terms.term").alias("term"))
     kinds = near.groupBy("entity", "term", "around").agg(F.lit(1).alias("one")).groupBy("entity", "term").agg(F.count("*").alias("kinds")).where(F.col("kinds") >= SUPPORT)
     together = near.join(kinds, ["entity", "term"], "left_semi").select("row", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_both"))
-    together = materialise(together, "together")
+    together = materialise(together, "together", near.count())
     of_entity = found.select("row", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
     of_term = _document_counts(docs, together.select("term").distinct(), text_col).withColumnRenamed("n", "n_term")
     total = docs.count()
@@ -168,7 +168,8 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     terms. Places count code points, the end excluded.
     """
     found = materialise(matches(docs, id_col, text_col), "matches")
-    placed = materialise(occurrences(found), "occurrences")
+    pieces = found.agg(F.coalesce(F.sum(reduce(lambda a, b: a + b, (F.size(k) for k in KINDS))), F.lit(0))).first()[0]
+    placed = materialise(occurrences(found), "occurrences", pieces)
     telling = disclosing(docs, placed, text_col)
     near = placed.select("row", "entity", "start", F.explode("terms").alias("t")).select("row", "entity", F.col("t.term").alias("term"), (F.col("start") + F.col("t.at")).alias("start"), F.col("t.size").alias("size"))
     added = near.join(telling, ["entity", "term"]).groupBy("row", "start", "size").agg(F.max("disclosure").alias("disclosure"))

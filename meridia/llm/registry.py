@@ -11,10 +11,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_trie, decontamination, html_extract, language_id, pii, simhash, token_counts, token_store, topk
+from . import bpe_trie, decontamination, html_extract, language_id, line_dedup, pii, simhash, token_counts, token_store, topk
 from .common import table
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -55,6 +59,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_line_dedup,
         op2_decontamination,
         op3_html_extraction,
         op4_simhash_near_dedup,

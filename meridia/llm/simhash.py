@@ -93,7 +93,7 @@ def _shared_points(df: DataFrame) -> DataFrame:
 def links(distinct: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """Links (a, b) that connect all distinct fingerprints within MAX_DISTANCE bits."""
     table = _segments(distinct)
-    crowded = materialise(table.groupBy("key").count().where(F.col("count") > bucket).select("key"), "crowded")
+    crowded = materialise(table.groupBy("key").count().where(F.col("count") > bucket).select("key"), "crowded", distinct.count() // bucket)
     probes, rest = _probes(distinct), None
     if not crowded.isEmpty():
         rest = _shared_points(probes.join(crowded, "key", "left_semi").select("fp").distinct())
@@ -113,7 +113,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     other columns are ignored; an empty table gives an empty result.
     """
     prints = materialise(fingerprints(docs, id_col, text_col), "fingerprints")
-    distinct = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
+    distinct = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct", prints.count())
     classes = connected_components(links(distinct.select("fp"), bucket)).withColumnRenamed("node", "fp")
     classed = distinct.join(classes, "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
     named = classed.groupBy("component").agg(F.min("least").alias("component_id"))
