@@ -2,7 +2,8 @@
 
 The first pass counts, over all documents, in how many of them each n-gram of the
 benchmark occurs. In each window of an item's n-grams the rarest becomes a seed,
-so every item has seeds all along, however often its text was copied. The second
+with those that are about as rare, so every item has seeds all along, however
+often its text was copied, and common phrases are none. The second
 pass finds seeds in the documents and aligns the item with the passage around
 each; the score is that of the best local alignment as a share of the score of
 the whole item, so edited and paraphrased copies still score high.
@@ -27,6 +28,8 @@ from .common import materialise, pick, prepare_python
 SEED_WORDS = 3
 #: Consecutive n-grams of which the rarest is a seed.
 WINDOW = 4
+#: Times the count of a window's rarest n-gram up to which another one is a seed too.
+ABOUT_AS_RARE = 4
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Share of an item's full score from which a document counts as contaminated.
 MIN_SCORE = 0.5
@@ -97,12 +100,14 @@ class Benchmark:
         return at[found], keys[at][found]
 
     def keep_rare(self, counts: dict[int, int]) -> None:
-        """Look for seeds only: in each window of an item's n-grams the one in the fewest documents."""
+        """Look for seeds only: in each window of an item's n-grams those in the fewest documents."""
         seeds = set()
         for _, found in self.items:
             keys = self.keys(found).tolist()
             for start in range(max(1, len(keys) - WINDOW + 1)):
-                seeds.add(min(keys[start : start + WINDOW], key=lambda k: (counts.get(k, 0), k)))
+                window = keys[start : start + WINDOW]
+                most = ABOUT_AS_RARE * max(1, min(counts.get(k, 0) for k in window))
+                seeds.update(k for k in window if counts.get(k, 0) <= most)
         self.grams = np.array(sorted(seeds), dtype=np.int64)
         self.places = self.places[np.isin(self.places[:, 0], self.grams)]
 

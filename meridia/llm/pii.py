@@ -194,6 +194,10 @@ def redact(text: Column, base: Column, added: Column) -> Column:
     return F.aggregate(F.sort_array(marks), begin, step, lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.length(text))))
 
 
+def _of_kind(base: Column, kind: int) -> Column:
+    return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long")
+
+
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Return doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans for every row.
 
@@ -206,5 +210,5 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     base, added = F.col("base"), F.col("added")
     told = F.transform(base, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["end"]))
     more = F.transform(added, lambda s: F.concat_ws(":", F.lit(TERM), s["start"], s["end"]))
-    counts = [F.size(F.filter(base, lambda s, n=n: s["kind"] == n)).cast("long").alias(f"n_{k}") for n, k in enumerate(KINDS)]
+    counts = [_of_kind(base, n).alias(f"n_{k}") for n, k in enumerate(KINDS)]
     return spans(docs, id_col, text_col).select("doc_id", *counts, F.sha2(F.array_join(told, ","), 256).alias("base_sha256"), F.array_join(F.concat(told, more), ",").alias("spans"))
