@@ -15,6 +15,8 @@ ROWS_PER_BATCH = 1024
 BYTES_PER_BATCH = 8 << 20
 #: Narrow rows that one file of an intermediate table may hold.
 ROWS_PER_FILE = 200_000
+#: Whether the shuffle files of a statement go when it ends, not when the driver next collects its garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def work_dir(spark: SparkSession) -> str:
@@ -51,7 +53,12 @@ def materialise(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     path = fresh_path(spark, name)
     if rows is not None:
         df = df.coalesce(max(1, -(-rows // ROWS_PER_FILE)))
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
