@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 #: Most rows and bytes in an Arrow batch; texts may be long.
 ROWS_PER_BATCH = 1024
-BYTES_PER_BATCH = 8 << 20
+BYTES_PER_BATCH = 4 << 20
 #: Narrow rows that one file of an intermediate table may hold.
 ROWS_PER_FILE = 200_000
 #: Whether the shuffle files of a statement go when it ends, not when the driver next collects its garbage.

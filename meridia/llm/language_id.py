@@ -53,9 +53,9 @@ def grams(text: str) -> np.ndarray:
     """The numbers of the text's grams; a run of other characters counts as one space. Empty without letters."""
     points = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), dtype="<u4")
     found = _symbols()[points]
-    found = found[np.concatenate(([True], (found[1:] != 0) | (found[:-1] != 0)))].astype(np.int64)
+    found = found[np.concatenate(([True], (found[1:] != 0) | (found[:-1] != 0)))].astype(np.int32)
     if not found.any():
-        return np.empty(0, dtype=np.int64)
+        return np.empty(0, dtype=np.int32)
     codes = found[: len(found) - GRAM + 1].copy()
     for place in range(1, GRAM):
         codes = codes * SYMBOLS + found[place : len(found) - GRAM + 1 + place]
@@ -94,12 +94,13 @@ def is_held_out(doc_id: Column) -> Column:
 def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     profiles: dict[str, np.ndarray] = {}
     for batch in batches:
-        by_lang: dict[str, list[np.ndarray]] = {}
+        by_lang: dict[str, list[str]] = {}
         for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            by_lang.setdefault(lang, []).append(grams(text))
+            by_lang.setdefault(lang, []).append(text)
         for lang, texts in by_lang.items():
             profiles.setdefault(lang, np.zeros(DIMENSIONS))
-            profiles[lang] += bundle([np.concatenate(texts)])[0]
+            for at in range(0, len(texts), 4 * _TEXTS_AT_ONCE):
+                profiles[lang] += bundle([np.concatenate([grams(t) for t in texts[at : at + 4 * _TEXTS_AT_ONCE]])])[0]
     for lang, vector in profiles.items():
         yield pa.RecordBatch.from_arrays([pa.array([lang] * DIMENSIONS), pa.array(np.arange(DIMENSIONS)), pa.array(vector)], ["lang", "at", "x"])
 
@@ -121,10 +122,10 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> di
 def _predict(langs: list[str], prototypes: np.ndarray) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [grams(t or "") for t in batch.column(0).to_pylist()]
+            texts = batch.column(0).to_pylist()
             preds, scores = [], []
             for at in range(0, len(texts), _TEXTS_AT_ONCE):
-                vectors = bundle(texts[at : at + _TEXTS_AT_ONCE])
+                vectors = bundle([grams(t or "") for t in texts[at : at + _TEXTS_AT_ONCE]])
                 lengths = np.linalg.norm(vectors, axis=1)
                 cosines = vectors @ prototypes.T / np.maximum(lengths, 1e-9)[:, None] if langs else np.zeros((len(vectors), 1))
                 best = cosines.argmax(axis=1)
