@@ -1,7 +1,7 @@
 """Geometries as little-endian WKB in binary columns: codec, measures and predicates.
 
 Python functions work on whole Arrow batches with numpy; the column functions
-wrap them as pandas UDFs. A geometry is parsed to its parts: a kind and a list
+wrap them as Arrow UDFs. A geometry is parsed to its parts: a kind and a list
 of parts, each a list of rings (arrays of longitude and latitude).
 """
 
@@ -14,9 +14,11 @@ import struct
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import _parse_datatype_string
 
 #: WKB's type codes.
 CODES = {"POINT": 1, "LINESTRING": 2, "POLYGON": 3, "MULTIPOINT": 4, "MULTILINESTRING": 5, "MULTIPOLYGON": 6}
@@ -292,61 +294,76 @@ def collection_extract(parts: list[Geometry], dimension: int) -> list[Geometry]:
 # columns ----------------------------------------------------------------------------------
 
 
-def _udf(kind: str, f: Callable) -> Callable:
-    def run(*columns: pd.Series) -> pd.Series:
-        return pd.Series([None if any(v is None for v in row) else f(*row) for row in zip(*columns, strict=True)], dtype=object)
+def arrow_rows(kind: str, f: Callable) -> Callable:
+    """A column function of ``f`` on rows, over Arrow arrays; null arguments give null."""
+    arrow_type = to_arrow_type(_parse_datatype_string(kind))
 
-    return F.pandas_udf(run, kind)
+    def run(*columns):
+        values = [None if any(v is None for v in row) else f(*row) for row in zip(*(c.to_pylist() for c in columns), strict=True)]
+        return pa.array(values, arrow_type)
+
+    def one(a: pa.Array) -> pa.Array:
+        return run(a)
+
+    def two(a: pa.Array, b: pa.Array) -> pa.Array:
+        return run(a, b)
+
+    def three(a: pa.Array, b: pa.Array, c: pa.Array) -> pa.Array:
+        return run(a, b, c)
+
+    return lambda *columns: F.arrow_udf((one, two, three)[len(columns) - 1], kind)(*columns)
 
 
 def contains_point(shape: str, x: str, y: str) -> Column:
     """ST_Within of points in polygons; equal shapes of a batch are parsed once and tested together."""
 
-    def run(shapes: pd.Series, xs: pd.Series, ys: pd.Series) -> pd.Series:
+    def run(shapes: pa.Array, xs: pa.Array, ys: pa.Array) -> pa.Array:
+        coded = shapes.dictionary_encode()
+        places = coded.indices.to_numpy(zero_copy_only=False)
+        px, py = (a.cast(pa.float64()).to_numpy(zero_copy_only=False) for a in (xs, ys))
         out = np.zeros(len(shapes), dtype=bool)
-        for data, rows in pd.Series(range(len(shapes))).groupby(shapes.to_numpy(), sort=False):
-            at = rows.to_numpy()
-            out[at] = points_within(read_wkb(data), xs.to_numpy()[at], ys.to_numpy()[at])
-        return pd.Series(out)
+        for i, data in enumerate(coded.dictionary.to_pylist()):
+            at = np.flatnonzero(places == i)
+            out[at] = points_within(read_wkb(data), px[at], py[at])
+        return pa.array(out)
 
-    run.__annotations__ = {}
-    return F.pandas_udf(run, "boolean")(shape, x, y)
+    return F.arrow_udf(run, "boolean")(shape, x, y)
 
 
 def distance_to(shape: str, x: str, y: str) -> Column:
-    return _udf("double", lambda s, a, b: float(points_distance(read_wkb(s), np.array([a]), np.array([b]))[0]))(shape, x, y)
+    return arrow_rows("double", lambda s, a, b: float(points_distance(read_wkb(s), np.array([a]), np.array([b]))[0]))(shape, x, y)
 
 
 def length_spheroid(shape: str) -> Column:
-    return _udf("double", lambda s: length_m(read_wkb(s)))(shape)
+    return arrow_rows("double", lambda s: length_m(read_wkb(s)))(shape)
 
 
 def area_km2(shape: str) -> Column:
-    return _udf("double", lambda s: area_m2(read_wkb(s)) / 1e6)(shape)
+    return arrow_rows("double", lambda s: area_m2(read_wkb(s)) / 1e6)(shape)
 
 
 def shapes_intersect(a: str, b: str) -> Column:
-    return _udf("boolean", lambda s, t: intersects(read_wkb(s), read_wkb(t)))(a, b)
+    return arrow_rows("boolean", lambda s, t: intersects(read_wkb(s), read_wkb(t)))(a, b)
 
 
 def envelope(shape: str) -> Column:
-    return _udf("struct<west:double,south:double,east:double,north:double>", lambda s: dict(zip(("west", "south", "east", "north"), read_wkb(s).envelope() or (None,) * 4, strict=True)))(shape)
+    return arrow_rows("struct<west:double,south:double,east:double,north:double>", lambda s: dict(zip(("west", "south", "east", "north"), read_wkb(s).envelope() or (None,) * 4, strict=True)))(shape)
 
 
 def wkb_from_text(text: str) -> Column:
-    return _udf("binary", lambda t: write_wkb(read_wkt(t)))(text)
+    return arrow_rows("binary", lambda t: write_wkb(read_wkt(t)))(text)
 
 
 def text_from_wkb(shape: str) -> Column:
-    return _udf("string", lambda s: write_wkt(read_wkb(s)))(shape)
+    return arrow_rows("string", lambda s: write_wkt(read_wkb(s)))(shape)
 
 
 def wkb_from_geojson(text: str) -> Column:
-    return _udf("binary", lambda t: write_wkb(read_geojson(t)))(text)
+    return arrow_rows("binary", lambda t: write_wkb(read_geojson(t)))(text)
 
 
 def geojson_from_wkb(shape: str) -> Column:
-    return _udf("string", lambda s: write_geojson(read_wkb(s)))(shape)
+    return arrow_rows("string", lambda s: write_geojson(read_wkb(s)))(shape)
 
 
 def _coordinates(points: list) -> np.ndarray:
@@ -355,18 +372,18 @@ def _coordinates(points: list) -> np.ndarray:
 
 def line_wkb(points: Column) -> Column:
     """A line from an array of (lon, lat)."""
-    return _udf("binary", lambda p: write_wkb(Geometry("LINESTRING", [[_coordinates(p)]])))(points)
+    return arrow_rows("binary", lambda p: write_wkb(Geometry("LINESTRING", [[_coordinates(p)]])))(points)
 
 
 def polygon_wkb(points: Column) -> Column:
     """A polygon from a closed array of (lon, lat)."""
-    return _udf("binary", lambda p: write_wkb(Geometry("POLYGON", [[_coordinates(p)]])))(points)
+    return arrow_rows("binary", lambda p: write_wkb(Geometry("POLYGON", [[_coordinates(p)]])))(points)
 
 
 def hull_wkb(points: Column) -> Column:
     """The convex hull of an array of (lon, lat)."""
-    return _udf("binary", lambda p: write_wkb(convex_hull(_coordinates(p))))(points)
+    return arrow_rows("binary", lambda p: write_wkb(convex_hull(_coordinates(p))))(points)
 
 
 def is_empty(shape: str) -> Column:
-    return _udf("boolean", lambda s: read_wkb(s).is_empty)(shape)
+    return arrow_rows("boolean", lambda s: read_wkb(s).is_empty)(shape)
