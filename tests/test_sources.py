@@ -16,7 +16,7 @@ def write_shapefile(path, rows, fields):
     """Zipped shapefile of polygons: (values, geometry)."""
     shp, records = b"", b""
     for i, (_, shape) in enumerate(rows, 1):
-        rings = [np.asarray(r)[::-1] if k == 0 else np.asarray(r) for p in shape.parts for k, r in enumerate(p)]
+        rings = [np.asarray(r)[::-1] for p in shape.parts for r in p]  # shells clockwise, holes not
         xy = np.concatenate(rings)
         body = struct.pack("<i4d2i", 5, *shape.envelope(), len(rings), len(xy)) + struct.pack(f"<{len(rings)}i", *np.cumsum([0, *map(len, rings[:-1])])) + xy.astype("<f8").tobytes()
         records += struct.pack(">2i", i, len(body) // 2) + body
