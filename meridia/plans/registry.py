@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 #: Modules with ``QUERIES`` and ``ORACLE_SQL`` dictionaries.
-MODULES: tuple[str, ...] = ("inventory", "spatial")
+MODULES: tuple[str, ...] = ("inventory", "spatial", "reports", "streams")
 
 
 def _merged(name: str) -> dict:

@@ -220,10 +220,10 @@ def dedup_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def priority_union_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nations of suppliers first; customers' nations where no supplier has one."""
-    s = _read(spark, sf_dir, "supplier").groupBy(F.col("s_nationkey").alias("nation")).agg(F.min("s_name").alias("name"))
+    """Nations of rich suppliers first; customers' nations where there is none."""
+    s = _read(spark, sf_dir, "supplier").where("s_acctbal > 8000").groupBy(F.col("s_nationkey").alias("nation")).agg(F.min("s_name").alias("name"))
     c = _read(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").alias("nation")).agg(F.min("c_name").alias("name"))
-    return dedup.priority_union(s.where(F.col("nation") % 3 != 0), c, "nation")
+    return dedup.priority_union(s, c, "nation")
 
 
 QUERIES = {
@@ -263,6 +263,6 @@ ORACLE_SQL = {
     "dedup_precedence": "SELECT user_id, event_type, event_id FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY CASE event_type WHEN 'purchase' THEN 1 WHEN 'error' THEN 2 WHEN 'click' THEN 3 ELSE 4 END, event_type, event_id) = 1",
     "dedup_counters": """WITH c AS (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY ALL)
         SELECT CAST(sum(n) AS BIGINT) AS raw, count(DISTINCT user_id) AS unique_rows, CAST(sum(n - 1) AS BIGINT) AS same_category, CAST(sum(n) - count(DISTINCT user_id) - sum(n - 1) AS BIGINT) AS across_categories FROM c""",
-    "priority_union_fallback": """WITH s AS (SELECT s_nationkey AS nation, min(s_name) AS name FROM supplier WHERE s_nationkey % 3 <> 0 GROUP BY 1)
+    "priority_union_fallback": """WITH s AS (SELECT s_nationkey AS nation, min(s_name) AS name FROM supplier WHERE s_acctbal > 8000 GROUP BY 1)
         SELECT * FROM s UNION ALL SELECT c_nationkey, min(c_name) FROM customer WHERE c_nationkey NOT IN (SELECT nation FROM s) GROUP BY 1""",
 }
