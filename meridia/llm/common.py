@@ -1,15 +1,16 @@
-"""What the corpus operators share: the shared folder, small Arrow batches, tables."""
+"""What the corpus operators share: tables in the shared folder, small Arrow batches."""
 
 from __future__ import annotations
 
 import tempfile
-import uuid
 import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meridia.operators.storage import fresh_path
+
 #: Most rows and bytes in an Arrow batch; texts may be long.
 ROWS_PER_BATCH = 1024
 BYTES_PER_BATCH = 4 << 20
@@ -19,30 +20,6 @@ ROWS_PER_FILE = 200_000
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def work_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share.
-
-    ``spark.checkpoint.dir`` names it on a cluster. Only where that is unset (a
-    local session, as in tests) a temporary folder takes its place.
-    """
-    told = spark.conf.get("spark.checkpoint.dir", None)
-    if not told:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        told = "file://" + tempfile.mkdtemp(prefix="meridia-")
-        spark.conf.set("spark.checkpoint.dir", told)
-    return told.rstrip("/")
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder, deleted when the session's JVM ends."""
-    path = f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return path
-
-
 def materialise(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: its lineage ends there.
 

@@ -44,7 +44,7 @@ class _Block:
     def __init__(self, rows: list) -> None:
         self.ids = np.array([r.vec_id for r in rows], dtype=np.int64)
         self.sizes = np.array([len(r.v) for r in rows], dtype=np.int64)
-        self.vectors = {int(n): np.array([rows[i].v for i in np.flatnonzero(self.sizes == n)], dtype=np.float64).reshape(-1, int(n)) for n in set(self.sizes.tolist())}
+        self.vectors = {n: np.array([rows[i].v for i in np.flatnonzero(self.sizes == n)], dtype=np.float64).reshape(-1 if n else int((self.sizes == n).sum()), n) for n in set(self.sizes.tolist())}
 
     def scores(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(queries' places, candidates' ids, integer scores) for pieces of the batches."""
