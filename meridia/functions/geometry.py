@@ -217,6 +217,25 @@ def intersects(a: Geometry, b: Geometry) -> bool:
     return bool(((side(p, q, u) * side(p, q, v) < 0) & (side(u, v, p) * side(u, v, q) < 0)).any())
 
 
+def is_valid(g: Geometry) -> bool:
+    """Whether coordinates are finite, rings are closed, long enough and do not cross themselves or each other."""
+    for part in g.parts:
+        if not all(np.isfinite(r).all() for r in part):
+            return False
+        if g.dimension == 1 and any(len(r) < 2 for r in part):
+            return False
+        if g.dimension == 2:
+            if any(len(r) < 4 or (r[0] != r[-1]).any() for r in part):
+                return False
+            s = np.concatenate([np.hstack((r[:-1], r[1:])) for r in part])
+            side = lambda p, q, r: (q[..., 0] - p[..., 0]) * (r[..., 1] - p[..., 1]) - (q[..., 1] - p[..., 1]) * (r[..., 0] - p[..., 0])
+            for i in range(0, len(s), 256):  # in blocks, so that long rings take bounded memory
+                p, q, u, v = s[i : i + 256, None, :2], s[i : i + 256, None, 2:], s[None, :, :2], s[None, :, 2:]
+                if ((side(p, q, u) * side(p, q, v) < 0) & (side(u, v, p) * side(u, v, q) < 0)).any():
+                    return False
+    return True
+
+
 def geodesic_m(lon1, lat1, lon2, lat2) -> np.ndarray:
     """Length of geodesics on WGS 84 by Vincenty's inverse formula, in metres."""
     lon1, lat1, lon2, lat2 = (np.radians(np.asarray(v, dtype=float)) for v in (lon1, lat1, lon2, lat2))
@@ -387,3 +406,7 @@ def hull_wkb(points: Column) -> Column:
 
 def is_empty(shape: str) -> Column:
     return arrow_rows("boolean", lambda s: read_wkb(s).is_empty)(shape)
+
+
+def valid(shape: str) -> Column:
+    return arrow_rows("boolean", lambda s: is_valid(read_wkb(s)))(shape)

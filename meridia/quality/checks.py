@@ -53,7 +53,7 @@ def _violations(contract: Contract, columns: Iterable[str], extent: tuple[float,
             out[f"range.{c.name}"] = ~v.between(*c.range)
     if contract.geometry_types and GEOMETRY in have:
         shape = F.col(GEOMETRY)
-        out["geometry_valid"] = shape.isNull() | geometry.is_empty(GEOMETRY)
+        out["geometry_valid"] = shape.isNull() | geometry.is_empty(GEOMETRY) | ~geometry.valid(GEOMETRY)
         out["geometry_type"] = ~points.geometry_type(shape).isin(*contract.geometry_types)
         if contract.inside_extent:
             box = geometry.envelope(GEOMETRY)

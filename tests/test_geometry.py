@@ -62,6 +62,8 @@ def test_topology(spark):
     assert area(t.union([one, two])) > 1.9 * area(one)
     bow = wkb("POLYGON ((0 0, 2 2, 2 0, 0 2, 0 0))")
     assert not t.is_valid(bow) and t.is_valid(t.make_valid(bow))
+    for shape in (bow, one, t.make_valid(bow), wkb("POLYGON ((0 0, 1 0, 1 1, 0.5 0.5))")):
+        assert g.is_valid(g.read_wkb(shape)) == (shape in (one, t.make_valid(bow)))
     ring = [wkb("LINESTRING (0 0, 4 0, 4 4)"), wkb("LINESTRING (4 4, 0 4, 0 0)")]
     hole = [wkb("LINESTRING (1 1, 2 1, 2 2, 1 2, 1 1)")]
     assert area(t.rings_to_polygon(ring, hole)) < 0.97 * area(t.rings_to_polygon(ring, []))

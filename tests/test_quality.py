@@ -77,6 +77,7 @@ def test_good_contract_and_registry():
         (("t3", "a", None, None, None, point(139, 35)), "not_null.license"),
         (("t3", "a", None, None, "L", point(10, 35)), "inside_extent"),
         (("t3", "a", None, None, "L", bytearray(g.write_wkb(g.read_wkt("LINESTRING (139 35, 139 36)")))), "geometry_type"),
+        (("t3", "a", None, None, "L", point(float("inf"), 35)), "geometry_valid"),
     ],
 )
 def test_one_violation_fails_one_check(spark, bad, check):
