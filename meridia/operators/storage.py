@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,3 +34,17 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once for each Spark application."""
+    context = spark.sparkContext
+    root = Path(__file__).resolve().parents[1]
+    if getattr(context, "_meridia_shipped", False) or not root.is_dir():
+        return
+    path = Path(tempfile.mkdtemp(prefix="meridia-package-"), "meridia.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+        for source in sorted(root.rglob("*.py")):
+            out.write(source, source.relative_to(root.parent))
+    context.addPyFile(str(path))
+    context._meridia_shipped = True
