@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-import zipfile
-from pathlib import Path
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meridia.operators.storage import fresh_path
+from meridia.operators.storage import fresh_path, ship_package
 
 #: Most rows and bytes in an Arrow batch; texts may be long.
 ROWS_PER_BATCH = 1024
@@ -39,27 +35,13 @@ def materialise(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once for each Spark application."""
-    context = spark.sparkContext
-    root = Path(__file__).resolve().parents[1]
-    if getattr(context, "_meridia_shipped", False) or not root.is_dir():
-        return
-    path = Path(tempfile.mkdtemp(prefix="meridia-package-"), "meridia.zip")
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
-        for source in sorted(root.rglob("*.py")):
-            out.write(source, source.relative_to(root.parent))
-    context.addPyFile(str(path))
-    context._meridia_shipped = True
-
-
 def prepare_python(spark: SparkSession) -> None:
     """Make Python functions runnable: package on the executors, small Arrow batches.
 
     Lowers the session's batch limits to ROWS_PER_BATCH and BYTES_PER_BATCH if
     they are larger.
     """
-    _ship(spark)
+    ship_package(spark)
     for key, most in (("maxRecordsPerBatch", ROWS_PER_BATCH), ("maxBytesPerBatch", BYTES_PER_BATCH)):
         key = f"spark.sql.execution.arrow.{key}"
         told = spark.conf.get(key).rstrip("bB")
