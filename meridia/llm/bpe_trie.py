@@ -20,7 +20,7 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import pick, prepare_python
+from .common import freeing, pick, prepare_python
 from .words import ENDINGS, LETTERS, NUMBERS, SPACES, WordStore, beyond_latin, byte_letters
 
 #: Cuts a Latin text into words; the space before a word belongs to it.
@@ -184,4 +184,4 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
             ids = bpe.encode([t or "" for t in batch.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(ids, pa.binary()), pa.array(map(bpe.decode, ids), pa.string())], ["doc_id", "ids", "decoded"])
 
-    return pick(docs, doc_id=id_col, text=text_col).mapInArrow(run, SCHEMA)
+    return pick(docs, doc_id=id_col, text=text_col).mapInArrow(freeing(run), SCHEMA)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, pick, prepare_python
+from .common import freeing, materialise, pick, prepare_python
 
 SEED_WORDS = 3
 #: Consecutive n-grams of which the rarest is a seed.
@@ -184,8 +184,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         block = Benchmark(sorted(((r.item_id, r.text) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == number).collect()), key=str))
         if not block.items:
             continue
-        counts = rows.select("text").mapInArrow(_count(block), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()
+        counts = rows.select("text").mapInArrow(freeing(_count(block)), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()
         block.keep_rare({r.gram: r.n for r in counts})
-        matched = rows.mapInArrow(_match(block, least), SCHEMA)
+        matched = rows.mapInArrow(freeing(_match(block, least)), SCHEMA)
         found.append(matched if blocks == 1 else materialise(matched, "matches"))
     return reduce(DataFrame.union, found) if found else spark.createDataFrame([], SCHEMA)

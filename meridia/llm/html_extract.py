@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick, prepare_python
+from .common import freeing, pick, prepare_python
 
 #: Share of linked characters from which a block is a menu.
 LINK_DENSITY = 0.33
@@ -229,4 +229,4 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """
     prepare_python(pages.sparkSession)
     rows = pick(pages, page_id=id_col, url=url_col, html=html_col)
-    return rows.mapInArrow(_extract, "page_id long, url string, text string").withColumn("n_chars", F.char_length("text").cast("long"))
+    return rows.mapInArrow(freeing(_extract), "page_id long, url string, text string").withColumn("n_chars", F.char_length("text").cast("long"))

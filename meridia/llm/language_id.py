@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick, prepare_python
+from .common import freeing, pick, prepare_python
 
 DIMENSIONS = 1024
 GRAM = 3
@@ -109,7 +109,7 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> di
     """The prototype of each language, from all rows with a text and a language."""
     prepare_python(docs.sparkSession)
     rows = pick(docs, text=text_col, lang=lang_col).where("text IS NOT NULL AND lang IS NOT NULL")
-    sums = rows.mapInArrow(_learn, "lang string, at long, x double").groupBy("lang", "at").agg(F.sum("x").alias("x"))
+    sums = rows.mapInArrow(freeing(_learn), "lang string, at long, x double").groupBy("lang", "at").agg(F.sum("x").alias("x"))
     found = sums.limit(MOST_LANGUAGES * DIMENSIONS + 1).collect()
     if len(found) > MOST_LANGUAGES * DIMENSIONS:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
@@ -143,7 +143,7 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], text_col: str =
     vectors = np.array([v / max(np.linalg.norm(v), 1e-9) for v in prototypes.values()], dtype=np.float32).reshape(-1, DIMENSIONS)
     rows = pick(docs, **{"_text": text_col}, **(keep or {}))
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[1:]), "lang_pred string", "score double"])
-    return rows.mapInArrow(_predict(list(prototypes), vectors), schema)
+    return rows.mapInArrow(freeing(_predict(list(prototypes), vectors)), schema)
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, pick, prepare_python
+from .common import freeing, materialise, pick, prepare_python
 from .components import connected_components
 
 SHINGLE_WORDS = 3
@@ -64,7 +64,7 @@ def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fp (the fingerprint as a signed long) of every row."""
     prepare_python(docs.sparkSession)
-    return pick(docs, doc_id=id_col, text=text_col).mapInArrow(_fingerprint_batches, "doc_id long, fp long")
+    return pick(docs, doc_id=id_col, text=text_col).mapInArrow(freeing(_fingerprint_batches), "doc_id long, fp long")
 
 
 def _segments(df: DataFrame) -> DataFrame:

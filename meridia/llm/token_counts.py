@@ -18,7 +18,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh_path, materialise, pick, prepare_python
+from .common import freeing, fresh_path, materialise, pick, prepare_python
 
 LIMIT = 4096
 CACHE_SCHEMA = "content binary, tokenizer string, n_tokens long"
@@ -83,7 +83,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, cache: str | None = None,
     known = read_cache(spark, cache, version)
     missing = digests.groupBy("content").agg(F.min("doc_id").alias("first")).join(known, "content", "left_anti")
     texts = rows.select("content", "doc_id", "text").join(missing.withColumnRenamed("content", "c"), (F.col("content") == F.col("c")) & F.col("doc_id").eqNullSafe(F.col("first")))
-    counted = texts.select("content", "text").mapInArrow(_count(tokenizer_path), "content binary, n_tokens long")
+    counted = texts.select("content", "text").mapInArrow(freeing(_count(tokenizer_path)), "content binary, n_tokens long")
     counted.select("content", F.lit(version).alias("tokenizer"), "n_tokens").write.mode("append").parquet(cache)
     counts = read_cache(spark, cache, version)
     return digests.join(counts, "content").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import fresh_path, pick, prepare_python
+from .common import freeing, fresh_path, pick, prepare_python
 from .words import encode_dropping_space
 
 END_ID = 2
@@ -137,7 +137,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
     prepare_python(docs.sparkSession)
     rows = pick(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long"), "text")
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(_shards(tokenizer_path, end_id, width), SHARD_SCHEMA).write.parquet(path)
+    ordered.mapInArrow(freeing(_shards(tokenizer_path, end_id, width)), SHARD_SCHEMA).write.parquet(path)
 
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,7 +160,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     shards = spark.read.schema(SHARD_SCHEMA).parquet(path)
     before = F.sum("n_ids").over(Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1))
     bases = shards.select("part", "seq", "n_ids").select("part", "seq", F.coalesce(before, F.lit(0)).alias("base"))
-    found = shards.mapInArrow(_documents, "part int, seq int, doc_id long, within long, n_tokens long, ids_crc32 long")
+    found = shards.mapInArrow(freeing(_documents), "part int, seq int, doc_id long, within long, n_tokens long, ids_crc32 long")
     return found.join(bases, ["part", "seq"]).select("doc_id", (F.col("base") + F.col("within")).alias("start"), "n_tokens", "ids_crc32")
 
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, pick, prepare_python
+from .common import freeing, materialise, pick, prepare_python
 
 SCALE = 256
 K = 5
@@ -108,7 +108,7 @@ def _best(block: _Block, kth: np.ndarray, k: int) -> Callable:
 
 
 def _search(vectors: DataFrame, block: _Block, k: int) -> DataFrame:
-    found = vectors.mapInArrow(_ranges(block), "q long, low long, high long").groupBy("q").agg(F.min("low").alias("low"), F.max("high").alias("high")).collect()
+    found = vectors.mapInArrow(freeing(_ranges(block)), "q long, low long, high long").groupBy("q").agg(F.min("low").alias("low"), F.max("high").alias("high")).collect()
     low, high, wanted = (np.full(len(block.ids), x, dtype=np.int64) for x in (0, 0, k))
     for r in found:
         low[r.q], high[r.q] = r.low, r.high
@@ -116,7 +116,7 @@ def _search(vectors: DataFrame, block: _Block, k: int) -> DataFrame:
         width = np.maximum(1, -(-(high - low + 1) // BINS))
         # the kth score lies in the first bin from above at which the running count reaches k
         down = Window.partitionBy("q").orderBy(F.desc("bin"))
-        counts = vectors.mapInArrow(_histograms(block, low, width), "q long, bin long, n long").groupBy("q", "bin").agg(F.sum("n").alias("n"))
+        counts = vectors.mapInArrow(freeing(_histograms(block, low, width)), "q long, bin long, n long").groupBy("q", "bin").agg(F.sum("n").alias("n"))
         running = counts.withColumn("over", F.sum("n").over(down))
         for r in running.where(F.col("over") >= k).groupBy("q").agg(F.max("bin").alias("bin")).collect():
             low[r.q] += r.bin * width[r.q]
@@ -124,7 +124,7 @@ def _search(vectors: DataFrame, block: _Block, k: int) -> DataFrame:
         short = wanted == k  # fewer than k candidates: every one is kept
         high = np.where(short, low, low + width - 1)
         wanted[:] = k
-    return vectors.mapInArrow(_best(block, low, k), "query_id long, vec_id long, score long")
+    return vectors.mapInArrow(freeing(_best(block, low, k)), "query_id long, vec_id long, score long")
 
 
 def top_k(vectors: DataFrame, every: int = 50, k: int = K, id_col: str = "vec_id", vector_col: str = "embedding", block: int = BLOCK) -> DataFrame:
