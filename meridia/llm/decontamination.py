@@ -1,12 +1,12 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment (operator 2).
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment (operator 2).
 
-The first pass counts, over all documents, in how many of them each n-gram of the
-benchmark occurs. In each window of an item's n-grams the rarest becomes a seed,
-with those that are about as rare, so every item has seeds all along, however
-often its text was copied, and common phrases are none. The second
-pass finds seeds in the documents and aligns the item with the passage around
-each; the score is that of the best local alignment as a share of the score of
-the whole item, so edited and paraphrased copies still score high.
+Every n-gram of an item is a seed, however many documents hold it: in edited
+copies that many documents share, the n-grams that the edits left are as frequent
+as the copies. Seeds are found in the documents, and the item is aligned with the
+passage around each; the score is that of the best local alignment as a share of
+the score of the whole item, so edited and paraphrased copies still score high.
+A passage that has too few of the item's words for any alignment to reach the
+least score, which common phrases mostly bring up, is not aligned.
 
 The benchmark goes to the tasks in blocks of bounded size; a larger benchmark
 means more blocks.
@@ -26,10 +26,6 @@ from pyspark.sql import functions as F
 from .common import freeing, materialise, pick, prepare_python
 
 SEED_WORDS = 3
-#: Consecutive n-grams of which the rarest is a seed.
-WINDOW = 4
-#: Times the count of a window's rarest n-gram up to which another one is a seed too.
-ABOUT_AS_RARE = 4
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Share of an item's full score from which a document counts as contaminated.
 MIN_SCORE = 0.5
@@ -67,6 +63,7 @@ class Benchmark:
             found = np.array([self.numbers.setdefault(w, len(self.numbers) + 1) for w in words(text)], dtype=np.int64)
             if len(found) >= SEED_WORDS:
                 self.items.append((item_id, found))
+        self.bags = [np.unique(found, return_counts=True) for _, found in self.items]
         places = [(key, i, at) for i, (_, found) in enumerate(self.items) for at, key in enumerate(self.keys(found).tolist())]
         self.places = np.array(sorted(places), dtype=np.int64).reshape(-1, 3)
         self.grams = np.unique(self.places[:, 0])
@@ -99,17 +96,12 @@ class Benchmark:
         found = self.grams[np.minimum(np.searchsorted(self.grams, keys[at]), len(self.grams) - 1)] == keys[at]
         return at[found], keys[at][found]
 
-    def keep_rare(self, counts: dict[int, int]) -> None:
-        """Look for seeds only: in each window of an item's n-grams those in the fewest documents."""
-        seeds = set()
-        for _, found in self.items:
-            keys = self.keys(found).tolist()
-            for start in range(max(1, len(keys) - WINDOW + 1)):
-                window = keys[start : start + WINDOW]
-                most = ABOUT_AS_RARE * max(1, min(counts.get(k, 0) for k in window))
-                seeds.update(k for k in window if counts.get(k, 0) <= most)
-        self.grams = np.array(sorted(seeds), dtype=np.int64)
-        self.places = self.places[np.isin(self.places[:, 0], self.grams)]
+    def most(self, i: int, passage: np.ndarray) -> float:
+        """A bound of the item's share in any alignment with the passage: that of its words that the passage has."""
+        known, times = self.bags[i]
+        passage = np.sort(passage)
+        held = np.searchsorted(passage, known, "right") - np.searchsorted(passage, known, "left")
+        return int(np.minimum(held, times).sum()) / len(self.items[i][1])
 
     def matches(self, text: str | None, least: float) -> list[tuple[int, float, int, int]]:
         """(item_id, score, start, end) of each item found; start and end count words."""
@@ -130,7 +122,9 @@ class Benchmark:
         out = []
         for i, known in spans.items():
             item_id, item = self.items[i]
-            scored = [(align(item, numbers[a:b]), a) for a, b in known]
+            scored = [(align(item, numbers[a:b]), a) for a, b in known if self.most(i, numbers[a:b]) >= least]
+            if not scored:
+                continue
             (score, end), begin = max(scored, key=lambda x: (x[0][0], -x[1]))
             share = score / (MATCH * len(item))
             if share >= least:
@@ -140,16 +134,6 @@ class Benchmark:
         return out
 
 
-def _count(benchmark: Benchmark) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [np.unique(benchmark.hits(benchmark.number(t))[1]) for t in batch.column(0).to_pylist()]
-            grams, n = np.unique(np.concatenate(found or [np.empty(0, np.int64)]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(grams.astype(np.int64)), pa.array(n.astype(np.int64))], ["gram", "n"])
-
-    return run
-
-
 def _match(benchmark: Benchmark, least: float) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -184,8 +168,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         block = Benchmark(sorted(((r.item_id, r.text) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == number).collect()), key=str))
         if not block.items:
             continue
-        counts = rows.select("text").mapInArrow(freeing(_count(block)), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()
-        block.keep_rare({r.gram: r.n for r in counts})
         matched = rows.mapInArrow(freeing(_match(block, least)), SCHEMA)
         found.append(matched if blocks == 1 else materialise(matched, "matches"))
     return reduce(DataFrame.union, found) if found else spark.createDataFrame([], SCHEMA)

@@ -60,6 +60,19 @@ def test_against_brute_force(spark, block):
         assert 0 <= r.start < r.end <= len(d.words(texts[r.doc_id]))
 
 
+def test_one_edited_passage_in_many_documents(spark):
+    """Each window of 6 words has an edit, so the n-grams that are left are in all copies, the others in none."""
+    rnd = random.Random(5)
+    item = [f"w{i}" for i in range(40)]
+    edited = [w if i % 5 else "other" for i, w in enumerate(item)]
+    docs = [(i, " ".join([rnd.choice("abcdef") for _ in range(30)] + edited + [rnd.choice("abcdef") for _ in range(30)])) for i in range(50)]
+    docs += [(100 + i, f"x w1 w2 w3 y {i}") for i in range(50)]
+    found = d.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")).collect()
+    share = brute_score(item, edited) / (d.MATCH * len(item))
+    assert share >= d.MIN_SCORE
+    assert sorted((r.doc_id, r.item_id, r.score, r.start, r.end) for r in found) == [(i, 7, share, 31, 70) for i in range(50)]
+
+
 def test_empty_tables(spark, no_docs, docs):
     items = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
     assert d.contaminated(no_docs, items).count() == 0
