@@ -84,6 +84,21 @@ def test_disclosing_terms(spark):
     assert "term" in found[100] and "term" in found[101] and "term" not in found[103] and not found[106]
 
 
+def test_terms_anywhere_in_the_document(spark):
+    """A name far from the entity, standing twice; one footer in many documents; neither shares surroundings."""
+    far = " ".join(f"filler{i}" for i in range(40))
+    rows = [(i, f"plain words of document {i} about the common weather") for i in range(200)]
+    rows += [(300 + i, f"Zebulon came {i}. {far} zeb@mail.org {far} and again Zebulon") for i in range(5)]
+    footer = f"Contact Quentin at q@mail.org {far}"
+    rows += [(400 + i, f"page {i} {far} {footer}") for i in range(30)]
+    found = {r.doc_id: r.spans for r in pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for doc_id, text in rows:
+        for name in ("Zebulon", "Quentin"):
+            for m in re.finditer(name, text):
+                assert f"{pii.TERM}:{m.start()}:{m.end()}" in found[doc_id].split(",")
+    assert not any("term" in found[i] for i in range(200))
+
+
 def test_redaction(spark):
     rows = [(i, f"plain words {i}") for i in range(40)] + [(100, "Ask Zebulon at zeb@mail.org"), (101, "the Zebulon: zeb@mail.org is 🙂 away")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
