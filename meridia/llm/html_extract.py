@@ -1,10 +1,17 @@
 """Main text of web pages by two-pass block rules (operator 3).
 
 A page is cut into blocks at block-level tags. The first pass classes a block by
-its link density, its length and its share of stop words, and by containers that
-say what they hold (menus, asides, forms, adverts, comments; articles). The
-second pass gives ambiguous short blocks the label of the nearest decided
-neighbour: a heading looks at the blocks that follow it first.
+its link density, its length and its share of stop words: linked blocks are bad,
+prose is good, and what is short, or in between, is ambiguous. The second pass
+gives ambiguous blocks the label of the nearest decided neighbour; a heading
+looks at the blocks that follow it first.
+
+Containers (menus, asides, forms, adverts, comments; articles) are features of
+both passes: less is asked of prose in an article, prose in an advert or a
+comment is not the article's, and the nearest neighbour is sought in the block's
+own container. Only where no block of a container is decided does its kind decide.
+A class word tells nothing of a container that holds most of the page's text and
+all of its articles.
 """
 
 from __future__ import annotations
@@ -23,8 +30,11 @@ from .common import freeing, pick, prepare_python
 LINK_DENSITY = 0.33
 #: Code points under which a block is too short to judge, and from which it is long.
 SHORT, LONG = 70, 200
-#: Shares of stop words from which a block reads as prose, for shorter and for long blocks.
+#: Shares of stop words from which a block reads as prose, for shorter and for long blocks; elsewhere, and in an article.
 STOP_HIGH, STOP_LOW = 0.30, 0.20
+STOP_HIGH_IN, STOP_LOW_IN = 0.10, 0.05
+#: Share of the page's unlinked characters from which a container is the page, whatever its class words say.
+MOST = 0.5
 
 #: Frequent function words of English, French, German and Spanish.
 STOP_WORDS = frozenset(
@@ -58,7 +68,7 @@ CUES = frozenset(
 )
 
 _TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(?P<close>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<rest>(?:[^<>"']|"[^"]*"|'[^']*'|["'])*?)(?P<self>/?)>""",
+    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(?P<close>/?)(?P<name>[A-Za-z][^\s/>]*+)(?P<rest>(?:[^<>"']++|"[^"]*+"|'[^']*+'|["'])*+)>""",
     re.DOTALL,
 )
 _ATTRIBUTE = re.compile(r"""(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE)
@@ -70,40 +80,61 @@ IN, OUT, GONE = "in", "out", "gone"
 
 
 class Block:
-    __slots__ = ("heading", "label", "linked", "side", "text")
+    """A block's text, how many of its characters are linked, whether it is a heading, and the containers around it."""
+
+    __slots__ = ("around", "by", "heading", "label", "linked", "region", "side", "text")
 
-    def __init__(self, text: str, linked: int, side: str | None, heading: bool) -> None:
-        self.text, self.linked, self.side, self.heading, self.label = text, linked, side, heading, ""
+    def __init__(self, text: str, linked: int, around: list[tuple[int, str, bool]], heading: bool) -> None:
+        self.text, self.linked, self.around, self.heading = text, linked, around, heading
+        self.side, self.region, self.label, self.by = None, 0, "", ""
 
 
-def _side(name: str, rest: str) -> str | None:
-    """How an opening tag says its container takes part."""
+def _side(name: str, rest: str) -> tuple[str | None, bool]:
+    """How an opening tag says its container takes part, and whether only a class word says so."""
     if name in DROPPED:
-        return GONE
-    side = IN if name in INSIDE else OUT if name in OUTSIDE else None
+        return GONE, False
+    side, by_class = IN if name in INSIDE else OUT if name in OUTSIDE else None, False
     if rest:
         for key, value in _ATTRIBUTE.findall(rest):
             key, value = key.lower(), value.strip("\"'").lower()
             if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-                return GONE
-            if key in ("class", "id", "role") and not CUES.isdisjoint(_CUE_WORD.findall(value)):
+                return GONE, False
+            if key in ("class", "id", "role") and name != "body" and not CUES.isdisjoint(_CUE_WORD.findall(value)):
+                by_class = by_class or side != OUT
                 side = OUT
-    return side
+    return side, by_class
+
+
+def _place(found: list[Block]) -> None:
+    """Set each block's side and region: the innermost container around it that tells something."""
+    own = [len(b.text) - b.linked for b in found]
+    inside: dict[int, int] = {}
+    for block, n in zip(found, own, strict=True):
+        for number, _, by_class in block.around:
+            if by_class:
+                inside[number] = inside.get(number, 0) + n
+    # a container beside an article is not the page
+    for block in found:
+        if any(side == IN for _, side, _ in block.around):
+            held = {number for number, _, _ in block.around}
+            inside = {number: n if number in held else 0 for number, n in inside.items()}
+    for block in found:
+        told = [(number, side) for number, side, by_class in block.around if not by_class or inside[number] <= MOST * sum(own)]
+        block.region, block.side = told[-1] if told else (0, None)
 
 
 def blocks(page: str) -> list[Block]:
     """The page's blocks with text, in order."""
     found: list[Block] = []
-    stack: list[tuple[str, str | None]] = []  # open containers that are blocks or dropped
+    stack: list[tuple[str, str | None, bool, int]] = []  # open containers that are blocks or dropped
     parts: list[str] = []
-    linked, in_link, heading, at, gone = 0, 0, False, 0, 0
+    linked, in_link, heading, at, gone, number = 0, 0, False, 0, 0, 0
 
     def flush() -> None:
         nonlocal linked, parts
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            side = next((s for _, s in reversed(stack) if s), None)
-            found.append(Block(text, min(linked, len(text)), side, heading))
+            found.append(Block(text, min(linked, len(text)), [(n, side, by_class) for _, side, by_class, n in stack if side], heading))
         parts, linked = [], 0
 
     def add(piece: str) -> None:
@@ -113,8 +144,9 @@ def blocks(page: str) -> list[Block]:
             if in_link:
                 linked += len(" ".join(html.unescape(piece).split()))
 
-    place = 0
-    while match := _TOKEN.search(page, place):
+    place, last = 0, page.rfind(">")
+    # what follows the last ">" is an unclosed comment or no tag
+    while match := _TOKEN.search(page, place) if place <= last or "<!--" in page[place:] else None:
         add(page[at : match.start()])
         at = place = match.end()
         name = (match["name"] or "").lower()
@@ -130,7 +162,7 @@ def blocks(page: str) -> list[Block]:
                         heading = False
                 for depth in range(len(stack) - 1, -1, -1):
                     if stack[depth][0] == name:
-                        gone -= sum(s == GONE for _, s in stack[depth:])
+                        gone -= sum(s == GONE for _, s, _, _ in stack[depth:])
                         del stack[depth:]
                         break
             continue
@@ -142,70 +174,83 @@ def blocks(page: str) -> list[Block]:
             if name in BLOCKS:
                 flush()
                 heading = name in HEADINGS
-            if name not in VOID and not match["self"]:
+            if name not in VOID and not match["rest"].endswith("/"):
                 if name in RAW:
                     end = re.compile(f"</{name}", re.IGNORECASE).search(page, place)
                     at = place = end.start() if end else len(page)
-                side = _side(name, match["rest"])
+                side, by_class = _side(name, match["rest"])
+                number += 1
                 if name in ("p", "li") and stack and stack[-1][0] == name:  # an end tag that may be left out
                     gone -= stack.pop()[1] == GONE
                 if side == IN:  # an article ends what was left open around it
                     gone = 0
-                    stack = [(n, None if s == GONE else s) for n, s in stack]
-                stack.append((name, side))
+                    stack = [(n, None if s == GONE else s, c, k) for n, s, c, k in stack]
+                stack.append((name, side, by_class, number))
                 gone += side == GONE
     add(page[at:])
     flush()
+    _place(found)
     return found
 
 
 def _judge(block: Block) -> str:
-    """First pass: good, bad, or short."""
+    """First pass: good, bad, or ambiguous."""
     size = len(block.text)
-    if block.side == OUT or block.linked > LINK_DENSITY * size:
-        return "bad"
-    if block.side == IN:
-        return "good"
-    if block.text.startswith(("©", "(c) ", "Copyright")):
+    if block.linked > LINK_DENSITY * size or block.text.startswith(("©", "(c) ", "Copyright")):
         return "bad"
+    if size < SHORT or block.heading:
+        return "bad" if block.linked and block.side != IN else "ambiguous"
     words = [w.lower() for w in _LETTERS.findall(block.text)]
     share = sum(w in STOP_WORDS for w in words) / max(1, len(words))
-    if size < SHORT or block.heading:
-        return "bad" if block.linked else "short"
-    if share >= (STOP_LOW if size >= LONG else STOP_HIGH):
-        return "good"
-    return "short" if size < LONG else "bad"
+    high, low = (STOP_HIGH_IN, STOP_LOW_IN) if block.side == IN else (STOP_HIGH, STOP_LOW)
+    if share >= (low if size >= LONG else high):
+        return "bad" if block.side == OUT else "good"
+    return "ambiguous" if size < LONG or block.side == IN else "bad"
+
+
+def _neighbours(first: list[str], places: list[int]) -> dict[int, tuple[int | None, int | None]]:
+    """The nearest decided places before and after each of ``places``, among them."""
+    before: dict[int, int | None] = {}
+    last = None
+    for i in places:
+        before[i] = last
+        last = i if first[i] != "ambiguous" else last
+    found, last = {}, None
+    for i in reversed(places):
+        found[i] = before[i], last
+        last = i if first[i] != "ambiguous" else last
+    return found
 
 
 def classify(found: list[Block]) -> list[Block]:
-    """Both passes: sets the blocks' labels to good or bad."""
+    """Both passes: sets the blocks' labels to good or bad, and ``by`` to what decided."""
     first = [_judge(b) for b in found]
-    n = len(found)
-    before, after = [0] * n, [0] * n  # places of the nearest decided neighbours
-    last = -1
-    for i in range(n):
-        before[i] = last
-        if first[i] != "short":
-            last = i
-    last = n
-    for i in range(n - 1, -1, -1):
-        after[i] = last
-        if first[i] != "short":
-            last = i
+    regions: dict[int, list[int]] = {}
+    for i, block in enumerate(found):
+        regions.setdefault(block.region, []).append(i)
+    near = {}
+    for places in regions.values():
+        near |= _neighbours(first, places)
+    anywhere = _neighbours(first, list(range(len(found))))
     for i, block in enumerate(found):
-        if first[i] != "short":
-            block.label = first[i]
+        if first[i] != "ambiguous":
+            block.label, block.by = first[i], "block"
+            continue
+        left, right = near[i] if block.side else anywhere[i]
+        if left is None and right is None and block.side:
+            block.label, block.by = "good" if block.side == IN else "bad", "container"
             continue
-        to_left = i - before[i] if before[i] >= 0 else n + 1
-        to_right = after[i] - i if after[i] < n else n + 1
-        left = first[before[i]] if before[i] >= 0 else "bad"
-        right = first[after[i]] if after[i] < n else "bad"
-        if block.heading:
-            block.label = right
-        elif left == right or to_left == to_right:
-            block.label = left if left == right else "bad"
+        block.by = "neighbour"
+        if left is None or right is None:
+            # at either end of a page without containers there is nothing good
+            at = left if right is None else right
+            block.label = first[at] if at is not None and (block.side or block.heading and at == right) else "bad"
+        elif block.heading:
+            block.label = first[right]
+        elif first[left] == first[right] or i - left != right - i:
+            block.label = first[left] if i - left <= right - i else first[right]
         else:
-            block.label = left if to_left < to_right else right
+            block.label = "bad"
     return found
 
 

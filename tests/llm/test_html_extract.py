@@ -1,3 +1,6 @@
+import re
+import time
+
 import pytest
 
 from meridia.llm import html_extract
@@ -42,3 +45,37 @@ def test_nulls_repeats_and_clashing_names(spark):
     assert found.columns == ["page_id", "url", "text", "n_chars"]
     assert found.count() == 4
     assert html_extract.extract(found.select("page_id", "url", found.text.alias("html")).limit(0)).count() == 0
+
+
+def article(page):
+    """The blocks of the test tables' pages by their one article element, which the operator does not go by."""
+    inside = re.search(r"<article>(.*?)</article>", page, re.DOTALL)[1]
+    plain = lambda x: " ".join(html_extract.html.unescape(re.sub(r"<[^>]*>", "", re.sub(r"<!--.*?-->", "", x.replace("<br>", " "), flags=re.DOTALL))).split())
+    return "\n\n".join(filter(None, map(plain, re.split(r"</?(?:p|h1|ul|li|div)>", inside))))
+
+
+def test_all_pages_by_their_articles(spark, sf_dir):
+    pages = [r.html for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()]
+    assert [html_extract.main_text(p) for p in pages] == [article(p) for p in pages]
+
+
+def test_most_blocks_are_decided_by_the_two_passes(spark, sf_dir):
+    found = [b for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect() for b in html_extract.classify(html_extract.blocks(r.html))]
+    assert sum(b.by in ("block", "neighbour") for b in found) >= 0.9 * len(found)
+
+
+@pytest.mark.parametrize("page", ["<p " + "\"'" * 5000, "<p " + "\"" * 10_001 + "x", "<p x='" + "<p '" * 2000, "<p>x</p><!-- " + "'" * 10_000])
+def test_unclosed_tags_end(page):
+    began = time.monotonic()
+    html_extract.main_text(page)
+    assert time.monotonic() - began < 1
+
+
+def test_a_class_word_of_the_whole_page_tells_nothing():
+    for wrapper in ('body class="has-sidebar"', 'div class="content no-sidebar"', 'div id="share-page"'):
+        page = f"<{wrapper}><div class='comments'>{PROSE}</div>" + f"<div>{PROSE}</div>" * 5 + f"</{wrapper.split()[0]}>"
+        assert html_extract.main_text(page) == "\n\n".join([PROSE] * 5)
+
+
+def test_an_advert_larger_than_the_article():
+    assert html_extract.main_text(f"<div class='ad'>{PROSE}</div><article><p>Short.</p></article>") == "Short."
