@@ -1,12 +1,18 @@
 """Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment (operator 2).
 
-Every n-gram of an item is a seed, however many documents hold it: in edited
-copies that many documents share, the n-grams that the edits left are as frequent
-as the copies. Seeds are found in the documents, and the item is aligned with the
-passage around each; the score is that of the best local alignment as a share of
+Seeds are triples of an item's words that follow each other or have up to two
+words between them. Every one counts, however many documents hold it: in edited
+copies that many documents share, those that the edits left are as frequent as
+the copies. Seeds are found in the documents, and the item is aligned with the
+passage around them; the score is that of the best local alignment as a share of
 the score of the whole item, so edited and paraphrased copies still score high.
-A passage that has too few of the item's words for any alignment to reach the
-least score, which common phrases mostly bring up, is not aligned.
+A passage that has too few of the item's seeds or words for any alignment to
+reach the least score, which common phrases mostly bring up, is not aligned. In
+an alignment of m matches and e errors that reaches it, 2 m - e is at least twice
+the share ``least`` of the item's L words. Of the m - 2 triples of matches that
+follow each other at most 2 e / 3 have three errors or more between them; so (4
+least - 1) L / 3 - 2 are seeds at least, wherever words were replaced, put in or
+left out.
 
 The benchmark goes to the tasks in blocks of bounded size; a larger benchmark
 means more blocks.
@@ -26,6 +32,8 @@ from pyspark.sql import functions as F
 from .common import freeing, materialise, pick, prepare_python
 
 SEED_WORDS = 3
+#: Words left out after the first and after the second word of a seed.
+SEED_GAPS = ((0, 0), (0, 1), (1, 0), (1, 1), (0, 2), (2, 0))
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Share of an item's full score from which a document counts as contaminated.
 MIN_SCORE = 0.5
@@ -54,7 +62,7 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
 
 
 class Benchmark:
-    """A block of items: their words as numbers, and the n-grams looked for."""
+    """A block of items: their words as numbers, and the seeds looked for."""
 
     def __init__(self, items: list[tuple[int, str]]) -> None:
         self.numbers: dict[str, int] = {}
@@ -64,9 +72,11 @@ class Benchmark:
             if len(found) >= SEED_WORDS:
                 self.items.append((item_id, found))
         self.bags = [np.unique(found, return_counts=True) for _, found in self.items]
-        places = [(key, i, at) for i, (_, found) in enumerate(self.items) for at, key in enumerate(self.keys(found).tolist())]
+        self.sizes = np.array([len(found) for _, found in self.items], dtype=np.int64)
+        places = {(key, i, at) for i, (_, found) in enumerate(self.items) for gaps in SEED_GAPS for at, key in enumerate(self.keys(found, gaps).tolist())}
         self.places = np.array(sorted(places), dtype=np.int64).reshape(-1, 3)
-        self.grams = np.unique(self.places[:, 0])
+        self.grams, self.first = np.unique(self.places[:, 0], return_index=True)
+        self.times = np.diff(np.append(self.first, len(self.places)))
 
     def number(self, text: str | None) -> np.ndarray:
         """The text's words as numbers; 0 for words that no item has."""
@@ -74,27 +84,52 @@ class Benchmark:
         get = self.numbers.get
         return np.fromiter((get(w, 0) for w in found), dtype=np.int64, count=len(found))
 
-    def keys(self, numbers: np.ndarray) -> np.ndarray:
-        """A number for each n-gram; negative if a word of it is in no item."""
-        size = len(numbers) - SEED_WORDS + 1
+    def keys(self, numbers: np.ndarray, gaps: tuple[int, int]) -> np.ndarray:
+        """A number for each triple of words with these gaps; negative if a word of it is in no item."""
+        size = len(numbers) - SEED_WORDS + 1 - sum(gaps)
         if size <= 0:
             return np.empty(0, dtype=np.int64)
         # vocabularies are bounded by BLOCK_CHARS, so three words fit in 63 bits
         bits = max(1, len(self.numbers).bit_length())
         out, known = np.zeros(size, dtype=np.int64), np.ones(size, dtype=bool)
-        for k in range(SEED_WORDS):
+        for k in (0, 1 + gaps[0], 2 + sum(gaps)):
             part = numbers[k : k + size]
             out, known = out << bits | part, known & (part > 0)
         return np.where(known, out, -1)
 
     def hits(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(places, n-grams) at which the document has an n-gram that is looked for."""
-        keys = self.keys(numbers)
-        at = np.flatnonzero(keys >= 0)
-        if not len(at) or not len(self.grams):
-            return at[:0], keys[:0]
-        found = self.grams[np.minimum(np.searchsorted(self.grams, keys[at]), len(self.grams) - 1)] == keys[at]
-        return at[found], keys[at][found]
+        """(places, numbers of seeds) at which the document has a seed."""
+        places, seeds = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for gaps in SEED_GAPS if len(self.grams) else ():
+            keys = self.keys(numbers, gaps)
+            at = np.flatnonzero(keys >= 0)
+            near = np.minimum(np.searchsorted(self.grams, keys[at]), len(self.grams) - 1)
+            found = self.grams[near] == keys[at]
+            places.append(at[found])
+            seeds.append(near[found])
+        return np.concatenate(places), np.concatenate(seeds)
+
+    def passages(self, numbers: np.ndarray, least: float) -> list[tuple[int, int, int]]:
+        """(item, begin, end) of the document's passages with enough seeds of an item."""
+        at, seeds = self.hits(numbers)
+        if not len(at):
+            return []
+        times = self.times[seeds]
+        rows = np.repeat(self.first[seeds] - np.cumsum(times) + times, times) + np.arange(times.sum())
+        places, items, offsets = np.repeat(at, times), self.places[rows, 1], self.places[rows, 2]
+        size = self.sizes[items]
+        slack = size + SEED_WORDS
+        order = np.lexsort((places - offsets, items))
+        begin, end = np.maximum(0, places - offsets - slack)[order], (places - offsets + size + slack)[order]
+        items, places = items[order], places[order]
+        fresh = np.ones(len(items), dtype=bool)
+        fresh[1:] = (items[1:] != items[:-1]) | (begin[1:] > end[:-1])
+        starts, span = np.flatnonzero(fresh), np.cumsum(fresh) - 1
+        stops = np.append(starts[1:], len(items)) - 1
+        known = np.unique(span * (len(numbers) + 1) + places)
+        counts = np.bincount(known // (len(numbers) + 1), minlength=len(starts))
+        enough = counts >= np.maximum(1, np.ceil((4 * least - 1) * self.sizes[items[starts]] / 3 - 2 - 1e-9))
+        return list(zip(items[starts][enough].tolist(), begin[starts][enough].tolist(), end[stops][enough].tolist(), strict=True))
 
     def most(self, i: int, passage: np.ndarray) -> float:
         """A bound of the item's share in any alignment with the passage: that of its words that the passage has."""
@@ -106,19 +141,9 @@ class Benchmark:
     def matches(self, text: str | None, least: float) -> list[tuple[int, float, int, int]]:
         """(item_id, score, start, end) of each item found; start and end count words."""
         numbers = self.number(text)
-        at, keys = self.hits(numbers)
         spans: dict[int, list[tuple[int, int]]] = {}
-        for place, key in zip(at.tolist(), keys.tolist(), strict=True):
-            low, high = np.searchsorted(self.places[:, 0], [key, key + 1])
-            for _, i, offset in self.places[low:high].tolist():
-                size = len(self.items[i][1])
-                slack = size // 2 + SEED_WORDS
-                begin, end = max(0, place - offset - slack), place - offset + size + slack
-                known = spans.setdefault(i, [])
-                if known and begin <= known[-1][1] and end >= known[-1][0]:
-                    known[-1] = (min(begin, known[-1][0]), max(end, known[-1][1]))
-                else:
-                    known.append((begin, end))
+        for i, begin, end in self.passages(numbers, least):
+            spans.setdefault(i, []).append((begin, end))
         out = []
         for i, known in spans.items():
             item_id, item = self.items[i]

@@ -77,3 +77,18 @@ def test_empty_tables(spark, no_docs, docs):
     items = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
     assert d.contaminated(no_docs, items).count() == 0
     assert d.contaminated(docs, items.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("edit", [lambda i, w: ["other"] if i % 3 == 2 else [w], lambda i, w: [w, "other"], lambda i, w: [w, "other", "more"] if i % 2 else [w], lambda i, w: [] if i % 3 == 2 else [w]])
+def test_dense_edits_against_brute_force(spark, edit):
+    """Words replaced, put in or left out so densely that no three words of the item are left side by side."""
+    rnd = random.Random(6)
+    items = [(n, " ".join(rnd.sample([f"w{i}" for i in range(2000)], rnd.randint(6, 40)))) for n in range(40)]
+    docs = []
+    for n, text in items:
+        copy = [v for i, w in enumerate(text.split()) for v in edit(i, w)]
+        docs.append((n, " ".join([f"a{i}" for i in range(n)] + copy + ["end"])))
+    found = d.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    scores = {n: brute_score(d.words(items[n][1]), d.words(text)) / (d.MATCH * len(d.words(items[n][1]))) for n, text in docs}
+    expected = sorted((n, n, s) for n, s in scores.items() if s >= d.MIN_SCORE)
+    assert len(expected) > 10 and sorted((r.doc_id, r.item_id, r.score) for r in found) == expected
