@@ -3,9 +3,10 @@
 The encoding of a prefix is that of a shorter prefix and one last token. A token
 may follow another if BPE, run over the bytes of both, leaves the boundary
 between them alone; of the tokens that end a prefix exactly one may follow the
-last token of what precedes it. So a state, the last token and the ids so far,
+last token of what precedes it. So a state, the last token and where it begins,
 goes down the trie of the distinct words from each node to its children, and
-words with a common prefix share its states. The trie is walked depth first: in
+words with a common prefix share its states; a word's ids are read back from its
+end. The trie is walked depth first: in
 sorted order, each word leaves the path of the one before at their common prefix.
 """
 
@@ -105,7 +106,7 @@ class ByteBpe:
         """Ids, as little-endian unsigned 32-bit integers, of each distinct word."""
         ids, whole, code, joins = self.ids, self.whole, self.code, self._joins
         last: list[int] = [0]  # by depth: the state at each node of the path
-        done: list[bytes] = [b""]
+        begins: list[int] = [0]
         path, out = b"", {}
         for word in sorted(words):
             size, depth = len(word), 0
@@ -113,7 +114,7 @@ class ByteBpe:
                 if a != b:
                     break
                 depth += 1
-            del last[depth + 1 :], done[depth + 1 :]
+            del last[depth + 1 :], begins[depth + 1 :]
             for end in range(depth + 1, size + 1):
                 for start in range(max(0, end - self.longest), end):
                     token = ids.get(word[start:end])
@@ -124,12 +125,15 @@ class ByteBpe:
                         if not (self.may_follow(last[start], token) if good is None else good):
                             continue
                     last.append(token)
-                    done.append(done[start] + code[token])
+                    begins.append(start)
                     break
                 else:
                     raise ValueError(f"no token ends {word[:end]!r}")
-            path = word
-            out[word] = done[size]
+            path, found, at = word, [], size
+            while at:
+                found.append(code[last[at]])
+                at = begins[at]
+            out[word] = b"".join(reversed(found))
         return out
 
     def words(self, text: str) -> list[str]:

@@ -129,3 +129,33 @@ def test_queries_on_the_small_tables(spark, sf_dir):
     for doc_id in rnd.sample(sorted(texts), 50):
         ids = np.array(library(BYTES)(texts[doc_id]), dtype="<u4").tobytes()
         assert (found[doc_id].n_tokens, found[doc_id].ids_sha256) == (len(ids) // 4, hashlib.sha256(ids).hexdigest())
+
+
+def test_memory_of_a_long_word():
+    """A word without spaces takes memory in proportion to its length."""
+    import tracemalloc
+
+    rnd = random.Random(3)
+    word = "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(20_000))
+    bpe = bpe_trie.ByteBpe(BYTES)
+    tracemalloc.start()
+    (ids,) = bpe.encode([word])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1000 * len(word) and np.frombuffer(ids, "<u4").tolist() == library(BYTES)(word)
+
+
+@settings(max_examples=100, deadline=None)
+@given(ODD)
+def test_the_piece_model_normalises_nothing(text):
+    """So the content that its counts are stored by is the text itself."""
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    assert model.normalize(text).replace("▁", " ") == (" " + text if text else "")
+
+
+def test_select_from_stored_bytes():
+    values = np.cumsum(np.random.default_rng(4).integers(0, 900, 1000))
+    held = token_store.EliasFano.from_bytes(token_store.EliasFano.build(values).to_bytes())
+    assert [held.select(i) for i in range(held.n)] == held.values().tolist() == values.tolist()
