@@ -25,7 +25,7 @@ CACHE_SCHEMA = "content binary, tokenizer string, n_tokens long"
 
 
 def as_is(text: Column) -> Column:
-    """The normal form for tokenizers that see every character: null becomes empty."""
+    """The normal form for tokenizers that see every character, as those of the queries do: null becomes empty."""
     return F.coalesce(text, F.lit(""))
 
 
@@ -81,9 +81,10 @@ def token_counts(docs: DataFrame, tokenizer_path: str, cache: str | None = None,
     rows = pick(docs, doc_id=id_col, text=text_col).select("doc_id", F.octet_length(as_is(F.col("text"))).cast("long").alias("n_bytes"), text.alias("text"), F.unhex(F.sha2(text, 256)).alias("content"))
     digests = materialise(rows.drop("text"), "digests")
     known = read_cache(spark, cache, version)
-    missing = digests.groupBy("content").agg(F.min("doc_id").alias("first")).join(known, "content", "left_anti")
+    missing = materialise(digests.groupBy("content").agg(F.min("doc_id").alias("first")).join(known, "content", "left_anti"), "missing")
     texts = rows.select("content", "doc_id", "text").join(missing.withColumnRenamed("content", "c"), (F.col("content") == F.col("c")) & F.col("doc_id").eqNullSafe(F.col("first")))
     counted = texts.select("content", "text").mapInArrow(freeing(_count(tokenizer_path)), "content binary, n_tokens long")
     counted.select("content", F.lit(version).alias("tokenizer"), "n_tokens").write.mode("append").parquet(cache)
-    counts = read_cache(spark, cache, version)
+    # written first: the join then has shuffles of its own, whose large partitions Spark splits
+    counts = materialise(read_cache(spark, cache, version), "counts")
     return digests.join(counts, "content").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
