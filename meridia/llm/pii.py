@@ -160,7 +160,9 @@ def _together(docs: DataFrame, texts: DataFrame, placed: DataFrame, text_col: st
     repeated = terms.groupBy("term").agg(F.count("*").alias("n")).where((F.col("n") >= SUPPORT) & (F.col("n") <= bound)).select("term")
     repeated = materialise(repeated, "repeated")
     of_term = _document_counts(docs, repeated, text_col).withColumnRenamed("n", "n_term").where(F.col("n_term") <= bound)
-    return terms.join(of_term, "term").join(holders, "row").where((F.col("n_term") <= F.col("n_entity")) | (F.col("n_term") <= most))
+    # written first: the joins then have shuffles of their own, whose large partitions Spark splits
+    of_term = materialise(of_term, "counts")
+    return terms.join(of_term, "term").join(materialise(holders, "holders"), "row").where((F.col("n_term") <= F.col("n_entity")) | (F.col("n_term") <= most))
 
 
 def disclosing(together: DataFrame, total: int) -> DataFrame:
@@ -197,7 +199,7 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     total = docs.count()
     texts = materialise(_texts(found, placed), "texts")
     together = materialise(_together(docs, texts, placed, text_col, total), "together")
-    told = together.join(disclosing(together, total), ["entity", "term"]).groupBy("row", "term").agg(F.max("disclosure").alias("disclosure"))
+    told = together.join(materialise(disclosing(together, total), "disclosing"), ["entity", "term"]).groupBy("row", "term").agg(F.max("disclosure").alias("disclosure"))
     told = materialise(told, "told")
     added = _term_places(texts.join(told.select("row").distinct(), "row", "left_semi")).join(told, ["row", "term"])
     action = F.when(F.col("disclosure") >= REMOVE, "remove").otherwise("generalise")
