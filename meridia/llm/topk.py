@@ -26,7 +26,10 @@ SCALE = 256
 K = 5
 #: Queries in a block, on average; their vectors are what a task receives.
 BLOCK = 1024
-BINS = 1024
+#: Bins of a query's histogram in a pass; each task hands on so many counts a query at most.
+BINS = 128
+#: Up to this square of a vector's length all inner products are exact in double precision.
+LARGEST = float(1 << 53)
 _CANDIDATES_AT_ONCE = 1024
 
 
@@ -35,7 +38,7 @@ def quantise(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embe
     v = F.col("v")
     whole = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))))
     picked = pick(vectors, vec_id=id_col, v=vector_col).select(F.col("vec_id").cast("long"), v.cast("array<double>").alias("v"))
-    return picked.where(v.isNotNull() & whole).select("vec_id", F.transform(v, lambda x: F.floor(x * F.lit(float(SCALE))).cast("double")).alias("v"))
+    return picked.where(v.isNotNull() & whole).select("vec_id", F.transform(v, lambda x: F.when(F.abs(x) < LARGEST, F.floor(F.least(F.greatest(x, F.lit(-LARGEST)), F.lit(LARGEST)) * F.lit(float(SCALE))).cast("double")).otherwise(x)).alias("v"))
 
 
 class _Block:
@@ -136,10 +139,15 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = K, id_col: str = "vec_id
     with a null or non-finite component and null ids take no part; vectors are
     compared with those of the same length only; fewer than k candidates are all
     returned; other columns are ignored; an empty table gives an empty result.
+    Raises ValueError if a quantised vector's square is beyond LARGEST: its
+    products might not be whole.
     """
     spark = vectors.sparkSession
     prepare_python(spark)
-    whole = quantise(vectors, id_col, vector_col).where("vec_id IS NOT NULL")
+    whole = materialise(quantise(vectors, id_col, vector_col).where("vec_id IS NOT NULL"), "quantised")
+    largest = whole.agg(F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).first()[0]
+    if largest is not None and largest > LARGEST:
+        raise ValueError(f"a vector's square, {largest}, is beyond {LARGEST}")
     queries = whole.where(F.col("vec_id") % every == 0)
     blocks = max(1, -(-queries.count() // block))
     found = []

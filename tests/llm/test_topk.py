@@ -35,3 +35,8 @@ def test_small_table(spark, sf_dir):
 
 def test_empty_table(spark):
     assert topk.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_products_that_may_not_be_whole(spark):
+    with pytest.raises(ValueError, match="beyond"):
+        topk.top_k(spark.createDataFrame([(50, [1e12, 1.0]), (51, [2.0, 1e300])], "vec_id long, embedding array<double>"))
