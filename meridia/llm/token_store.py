@@ -4,8 +4,9 @@ A file is a Parquet table of shards, written through Spark so that a lost task
 leaves nothing half done. A shard holds the ids of many documents end to end, as
 unsigned integers of the smallest width that the vocabulary needs, and where
 each document ends as an Elias-Fano sequence: low bits packed, high bits as
-unary gaps in a bitmap, with the place of every 64th one kept for select. Shards
-are in ascending order of (part, seq), documents in ascending order of their ids.
+unary gaps in a bitmap, with the place of every 64th one kept for select, by which
+the reader finds where a document ends. Shards are in ascending order of (part,
+seq), documents in ascending order of their ids, which are stored as they are.
 """
 
 from __future__ import annotations
@@ -36,10 +37,8 @@ SHARD_SCHEMA = "part int, seq int, n_ids long, width int, doc_ids array<long>, e
 class EliasFano:
     """A non-decreasing sequence of integers from 0 to ``universe`` in near-minimal space."""
 
-    def __init__(self, n: int, universe: int, low_bits: int, low: np.ndarray, high: np.ndarray) -> None:
-        self.n, self.universe, self.low_bits, self.low, self.high = n, universe, low_bits, low, high
-        ones = np.flatnonzero(np.unpackbits(high, bitorder="little"))
-        self.samples = ones[::_SAMPLE].astype(np.int64)
+    def __init__(self, n: int, universe: int, low_bits: int, low: bytes, high: bytes, samples: np.ndarray) -> None:
+        self.n, self.universe, self.low_bits, self.low, self.high, self.samples = n, universe, low_bits, low, high, samples
 
     @classmethod
     def build(cls, values: np.ndarray) -> EliasFano:
@@ -49,21 +48,23 @@ class EliasFano:
         bits = (values[:, None] >> np.arange(low_bits)) & 1
         low = np.packbits(bits.astype(np.uint8).ravel(), bitorder="little")
         marks = np.zeros((universe >> low_bits) + n + 1, dtype=np.uint8)
-        marks[(values >> low_bits) + np.arange(n)] = 1
-        return cls(n, universe, low_bits, low, np.packbits(marks, bitorder="little"))
+        ones = (values >> low_bits) + np.arange(n)
+        marks[ones] = 1
+        return cls(n, universe, low_bits, low.tobytes(), np.packbits(marks, bitorder="little").tobytes(), ones[::_SAMPLE].astype("<u4"))
 
     def to_bytes(self) -> bytes:
-        return _HEAD.pack(self.n, self.universe, self.low_bits) + self.low.tobytes() + self.high.tobytes()
+        return _HEAD.pack(self.n, self.universe, self.low_bits) + self.samples.tobytes() + self.low + self.high
 
     @classmethod
     def from_bytes(cls, data: bytes) -> EliasFano:
         n, universe, low_bits = _HEAD.unpack_from(data)
-        cut = _HEAD.size + -(-n * low_bits // 8)
-        return cls(n, universe, low_bits, np.frombuffer(data[_HEAD.size : cut], np.uint8), np.frombuffer(data[cut:], np.uint8))
+        low_at = _HEAD.size + 4 * -(-n // _SAMPLE)
+        cut = low_at + -(-n * low_bits // 8)
+        return cls(n, universe, low_bits, data[low_at:cut], data[cut:], np.frombuffer(data[_HEAD.size : low_at], "<u4"))
 
     def _low(self, i: int) -> int:
         at = i * self.low_bits
-        piece = int.from_bytes(self.low[at >> 3 : (at + self.low_bits + 7) >> 3].tobytes(), "little")
+        piece = int.from_bytes(self.low[at >> 3 : (at + self.low_bits + 7) >> 3], "little")
         return (piece >> (at & 7)) & ((1 << self.low_bits) - 1)
 
     def select(self, i: int) -> int:
@@ -72,11 +73,11 @@ class EliasFano:
             raise IndexError(i)
         place, left = int(self.samples[i // _SAMPLE]), i % _SAMPLE
         at, skip = place >> 3, place & 7
-        byte = int(self.high[at]) >> skip << skip
+        byte = self.high[at] >> skip << skip
         while (ones := byte.bit_count()) <= left:
             left -= ones
             at += 1
-            byte = int(self.high[at])
+            byte = self.high[at]
         for _ in range(left):
             byte &= byte - 1
         place = (at << 3) + (byte & -byte).bit_length() - 1
@@ -84,8 +85,8 @@ class EliasFano:
 
     def values(self) -> np.ndarray:
         """All values at once."""
-        ones = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[: self.n]
-        bits = np.unpackbits(self.low, bitorder="little")[: self.n * self.low_bits].reshape(self.n, self.low_bits)
+        ones = np.flatnonzero(np.unpackbits(np.frombuffer(self.high, np.uint8), bitorder="little"))[: self.n]
+        bits = np.unpackbits(np.frombuffer(self.low, np.uint8), bitorder="little")[: self.n * self.low_bits].reshape(self.n, self.low_bits)
         low = bits.astype(np.int64) @ (np.int64(1) << np.arange(self.low_bits, dtype=np.int64)) if self.low_bits else np.zeros(self.n, np.int64)
         return ((ones - np.arange(self.n)) << self.low_bits) | low
 
@@ -143,7 +144,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
-            ends = EliasFano.from_bytes(row["ends"]).values()
+            bounds = EliasFano.from_bytes(row["ends"])
+            ends = np.array([bounds.select(i) for i in range(bounds.n)], dtype=np.int64)
             ids = np.frombuffer(row["ids"], dtype=f"<u{row['width']}").astype("<u4").tobytes()
             starts = np.concatenate(([0], ends[:-1])).astype(np.int64)
             crcs = [zlib.crc32(ids[4 * a : 4 * b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
@@ -154,12 +156,16 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document in the files.
 
-    ``start`` adds up the shards before: one small row a shard, not a document.
+    ``start`` adds up the parts before, the shards of the part before, and the
+    documents of the shard before. Only the parts, one small row for each task
+    that wrote, are added up in one task.
     """
     prepare_python(spark)
     shards = spark.read.schema(SHARD_SCHEMA).parquet(path)
-    before = F.sum("n_ids").over(Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1))
-    bases = shards.select("part", "seq", "n_ids").select("part", "seq", F.coalesce(before, F.lit(0)).alias("base"))
+    sums = lambda n, window: F.coalesce(F.sum(n).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = shards.groupBy("part").agg(F.sum("n_ids").alias("n")).select("part", sums("n", Window.orderBy("part")).alias("before"))
+    within = shards.select("part", "seq", sums("n_ids", Window.partitionBy("part").orderBy("seq")).alias("ahead"))
+    bases = within.join(parts, "part").select("part", "seq", (F.col("before") + F.col("ahead")).alias("base"))
     found = shards.mapInArrow(freeing(_documents), "part int, seq int, doc_id long, within long, n_tokens long, ids_crc32 long")
     return found.join(bases, ["part", "seq"]).select("doc_id", (F.col("base") + F.col("within")).alias("start"), "n_tokens", "ids_crc32")
 
