@@ -118,7 +118,7 @@ def box_query(selectors: Sequence[str], out: str, timeout_s: int, box: Sequence[
     """A query in the map API's language: selectors in a box (S, W, N, E) or around (radius, lat, lon)."""
     if (box is None) == (around is None):
         raise ValueError("give a box or a point to look around")
-    where = f"({','.join(f'{v:g}' for v in box)})" if box is not None else f"(around:{','.join(f'{v:g}' for v in around)})"
+    where = f"({','.join(map(repr, box))})" if box is not None else f"(around:{','.join(map(repr, around))})"
     head = f"[out:json][timeout:{timeout_s}]" + (f'[date:"{date}"]' if date else "") + ";"
     return head + "(" + "".join(f"{s}{where};" for s in selectors) + f");out {out};"
 

@@ -130,3 +130,9 @@ def test_planning():
     for text in ('{"elements": [', '{"remark": "runtime error: Query timed out", "elements": []}'):
         with pytest.raises(bronze.BronzeError):
             bronze.check_response(text)
+
+
+def test_full_coordinates_in_a_query():
+    from meridia.sources import bronze
+
+    assert "(around:500,35.658034,139.701636)" in bronze.box_query(["node"], "geom", 60, around=(500, 35.658034, 139.701636))
