@@ -1,7 +1,9 @@
 """Matching the stops of ordered lists to candidate records, with tiers of tie-breaks.
 
-Unique candidates and those near a track are settled by a grouped minimum; only
-a stop that is still open looks at the choice before it, line by line.
+Candidates are ranked by (tier, metres, id), and the least is chosen. Stops with
+one candidate, and those of lines where tracks tell all candidates apart, are
+settled by a grouped minimum; only lines with a stop that looks at the choice
+before it are walked, one by one.
 """
 
 from __future__ import annotations
@@ -11,40 +13,52 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 RESULT = "line_id string, seq int, station_id string, candidates int, match_method string"
+#: Tiers of a rank: by the track, or by the stop before.
+TRACK, SEQUENCE = 0, 1
+
+
+def _rank(candidate: tuple, by_track: bool, previous: tuple[float, float] | None) -> tuple[int, float, str]:
+    name, lon, lat, track_m = candidate
+    if by_track and track_m is not None:
+        return TRACK, track_m, name
+    return SEQUENCE, 0.0 if previous is None else math.hypot(lon - previous[0], lat - previous[1]), name
 
 
 def choose(found: list[tuple], kind: str, previous: tuple[float, float] | None) -> tuple[tuple | None, str | None]:
     """Of (id, lon, lat, metres to a track or None): the chosen one and how.
 
-    One candidate is unique. On a full line, and at the first stop of any, the
-    one nearest a track wins; else, and where no track is near, the one nearest
-    the stop before. Ties go to the smaller id.
+    Tracks count on a full line, and at the first stop of any; after them, and
+    elsewhere, the way from the stop before.
     """
-    if len(found) < 2:
-        return (found[0], "unique") if found else (None, None)
-    near = [f for f in found if f[3] is not None]
-    if near and (kind == "full" or previous is None):
-        return min(near, key=lambda f: (f[3], f[0])), "track"
-    if previous is None:
-        return min(found, key=lambda f: f[0]), "sequence"
-    return min(found, key=lambda f: (math.hypot(f[1] - previous[0], f[2] - previous[1]), f[0])), "sequence"
+    ranks = {_rank(c, kind == "full" or previous is None, previous): c for c in found}
+    if not ranks:
+        return None, None
+    best = min(ranks)
+    return ranks[best], "unique" if len(found) == 1 else "track" if best[0] == TRACK else "sequence"
 
 
 def match_stops(stops: DataFrame, candidates: DataFrame) -> DataFrame:
     """Match each line's stops in order.
 
     ``stops``: line_id, seq, kind, name. ``candidates``: name, station_id, lon,
-    lat, track_m (null if no track is near). A line is one group, whose size a
-    network bounds. A stop without candidates has a null station.
+    lat, track_m (null if no track is near). A line that is walked is one group,
+    whose size a network bounds. A stop without candidates has a null station.
     """
     lists = stops.join(candidates, "name", "left").select("line_id", "seq", "kind", "station_id", "lon", "lat", "track_m")
+    rank = F.when(F.col("station_id").isNotNull(), F.struct(F.col("track_m").isNull().alias("far"), "track_m", "station_id"))
+    each = lists.groupBy("line_id", "seq").agg(F.min(rank).alias("best"), F.count("station_id").cast("int").alias("candidates"), F.min("kind").alias("kind"))
+    unsure = (F.col("candidates") > 1) & ((F.col("kind") != "full") | F.col("best.far"))
+    open_lines = each.where(unsure).select("line_id").distinct()
+    method = F.when(F.col("candidates") == 1, "unique").when(F.col("candidates") > 1, "track")
+    settled = each.join(open_lines, "line_id", "left_anti").select("line_id", F.col("seq").cast("int").alias("seq"), "best.station_id", "candidates", method.alias("match_method"))
 
     def line(frame: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(_line(frame), columns=["line_id", "seq", "station_id", "candidates", "match_method"])
 
-    return lists.groupBy("line_id").applyInPandas(line, RESULT)
+    return settled.union(lists.join(open_lines, "line_id", "left_semi").groupBy("line_id").applyInPandas(line, RESULT))
 
 
 def _line(frame: pd.DataFrame) -> Iterator[tuple]:

@@ -164,4 +164,14 @@ ORACLE_SQL = {
         u AS (SELECT r, c, (coalesce(lag(x) OVER b, x) + 2 * x + coalesce(lead(x) OVER b, x)) / (8E0 * {_DEGREES} * {_M} * cos(radians(36.0E0 - r * {_DEGREES}))) AS gx, (coalesce(lead(y) OVER b, y) - coalesce(lag(y) OVER b, y)) / (8E0 * {_DEGREES} * {_M}) AS gy FROM t WINDOW b AS (PARTITION BY c ORDER BY r)),
         f AS (SELECT r, c, atan(sqrt(gx * gx + gy * gy)) AS slope, atan2(gy, -gx) AS aspect FROM u)
         SELECT r AS row, c AS col, CAST(greatest(1, least(255, round_even(1 + 254 * greatest(0, least(1, cos(slope) * {math.cos(_ZENITH)!r} + sin(slope) * {math.sin(_ZENITH)!r} * cos({_LIGHT!r} - aspect))), 0))) AS INTEGER) AS shade FROM f""",
+    "sequential_match": """WITH RECURSIVE stops AS (SELECT CAST(l_orderkey AS VARCHAR) AS line_id, CAST(l_linenumber AS INTEGER) AS seq, CASE WHEN l_orderkey % 2 = 0 THEN 'full' ELSE 'mini' END AS kind, CAST(min(l_partkey) % 97 AS VARCHAR) AS name,
+            row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS i FROM lineitem GROUP BY l_orderkey, l_linenumber),
+        found AS (SELECT CAST(s_suppkey % 97 AS VARCHAR) AS name, list(struct_pack(id := s_name, lon := s_suppkey * 1.0E0, lat := s_suppkey * s_suppkey % 11 * 1.0E0, track := CASE WHEN s_suppkey % 3 = 0 THEN s_suppkey * 10.0E0 END)) AS c FROM supplier GROUP BY 1),
+        listed AS (SELECT line_id, i, seq, kind, coalesce(c, []) AS c FROM stops LEFT JOIN found USING (name)),
+        walk AS (SELECT line_id, CAST(0 AS BIGINT) AS i, 0 AS seq, CAST(NULL AS VARCHAR) AS station_id, 0 AS candidates, -1 AS tier, CAST(NULL AS DOUBLE) AS lon, CAST(NULL AS DOUBLE) AS lat FROM stops WHERE i = 1
+            UNION ALL SELECT line_id, i, seq, best.id, n, best.tier, coalesce(best.lon, lon), coalesce(best.lat, lat) FROM (SELECT w.line_id, l.i, l.seq, w.lon, w.lat, CAST(len(l.c) AS INTEGER) AS n, list_sort(list_transform(l.c, lambda x: struct_pack(
+                tier := CASE WHEN (l.kind = 'full' OR w.lon IS NULL) AND x.track IS NOT NULL THEN 0 ELSE 1 END,
+                metres := CASE WHEN (l.kind = 'full' OR w.lon IS NULL) AND x.track IS NOT NULL THEN x.track WHEN w.lon IS NULL THEN 0.0E0 ELSE (x.lon - w.lon) * (x.lon - w.lon) + (x.lat - w.lat) * (x.lat - w.lat) END,
+                id := x.id, lon := x.lon, lat := x.lat)))[1] AS best FROM walk w JOIN listed l ON l.line_id = w.line_id AND l.i = w.i + 1))
+        SELECT line_id, seq, station_id, candidates, CASE WHEN candidates = 1 THEN 'unique' WHEN candidates > 1 THEN CASE tier WHEN 0 THEN 'track' ELSE 'sequence' END END AS match_method FROM walk WHERE i > 0""",
 }
