@@ -168,13 +168,20 @@ def hex_disk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return around.groupBy(F.col("d.cell").alias("cell")).agg(F.min("d.ring").alias("ring"), F.count("*").alias("n"))
 
 
-_AXIAL = f"""
-    axial AS (SELECT id, lon, lat, (lon * {math.sqrt(3) / 3!r}E0 - lat / 3.0E0) / {hexgrid.radius(5)!r}E0 AS q, lat * 2.0E0 / 3.0E0 / {hexgrid.radius(5)!r}E0 AS r FROM ({_points_sql('supplier', 's_suppkey')})),
-    near AS (SELECT *, floor(q + 0.5E0) AS nq, floor(r + 0.5E0) AS nr, floor(-q - r + 0.5E0) AS ns FROM axial),
-    fixed AS (SELECT id,
+def _axial_sql(resolution: int, points: str, given: str = "fixed") -> str:
+    """CTEs that find the axial coordinates q and r (in ``given``) of points (id, lon, lat)."""
+    size = hexgrid.radius(resolution)
+    return f"""
+    {given}_axial AS (SELECT id, lon, lat, (lon * {math.sqrt(3) / 3!r}E0 - lat / 3.0E0) / {size!r}E0 AS q, lat * 2.0E0 / 3.0E0 / {size!r}E0 AS r FROM ({points})),
+    {given}_near AS (SELECT *, floor(q + 0.5E0) AS nq, floor(r + 0.5E0) AS nr, floor(-q - r + 0.5E0) AS ns FROM {given}_axial),
+    {given} AS (SELECT id,
         CAST(CASE WHEN abs(nq - q) > abs(nr - r) AND abs(nq - q) > abs(ns + q + r) THEN -nr - ns ELSE nq END AS BIGINT) AS q,
-        CAST(CASE WHEN NOT (abs(nq - q) > abs(nr - r) AND abs(nq - q) > abs(ns + q + r)) AND abs(nr - r) > abs(ns + q + r) THEN -nq - ns ELSE nr END AS BIGINT) AS r FROM near)"""
-_TEXT = "printf('%015x', ((5::BIGINT << 56) | (({q} + 134217728) << 28) | ({r} + 134217728)))"
+        CAST(CASE WHEN NOT (abs(nq - q) > abs(nr - r) AND abs(nq - q) > abs(ns + q + r)) AND abs(nr - r) > abs(ns + q + r) THEN -nq - ns ELSE nr END AS BIGINT) AS r FROM {given}_near)"""
+
+
+_AXIAL = _axial_sql(5, _points_sql("supplier", "s_suppkey"))
+_CENTERS = f"SELECT id, {hexgrid.radius(5) * math.sqrt(3)!r}E0 * (q + r / 2.0E0) AS lon, {hexgrid.radius(5) * 1.5!r}E0 * r AS lat FROM fixed"
+_TEXT = "printf('%015x', (({res}::BIGINT << 56) | (({q} + 134217728) << 28) | ({r} + 134217728)))"
 
 
 def multires_zonal(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -255,8 +262,10 @@ ORACLE_SQL = {
     "h3_parent_bits": f"""WITH c AS (SELECT k, {_CELL9} AS cell FROM (SELECT CAST(c_custkey AS BIGINT) AS k FROM customer))
         SELECT k, printf('%x', cell) AS cell, printf('%x', (cell & ~(15::BIGINT << 52)) | (8::BIGINT << 52) | ((1::BIGINT << 21) - 1)) AS r8,
         printf('%x', (cell & ~(15::BIGINT << 52)) | (5::BIGINT << 52) | ((1::BIGINT << 30) - 1)) AS r5, CAST((cell >> 45) & 127 AS INTEGER) AS base FROM c""",
+    "hex_index": f"""WITH {_AXIAL}, centers AS ({_CENTERS}), {_axial_sql(3, "SELECT * FROM centers", "coarse")}
+        SELECT f.id, {_TEXT.format(res=5, q='f.q', r='f.r')} AS cell, round(c.lon, 6) AS x, round(c.lat, 6) AS y, {_TEXT.format(res=3, q='p.q', r='p.r')} AS parent FROM fixed f JOIN centers c USING (id) JOIN coarse p USING (id)""",
     "hex_disk": f"""WITH {_AXIAL}, around AS (SELECT q + a AS q, r + b AS r, (abs(a) + abs(b) + abs(a + b)) // 2 AS ring FROM fixed, (SELECT unnest(range(-2, 3)) AS a), (SELECT unnest(range(-2, 3)) AS b) WHERE abs(a + b) <= 2)
-        SELECT {_TEXT.format(q='q', r='r')} AS cell, CAST(min(ring) AS INTEGER) AS ring, count(*) AS n FROM around GROUP BY 1""",
+        SELECT {_TEXT.format(res=5, q='q', r='r')} AS cell, CAST(min(ring) AS INTEGER) AS ring, count(*) AS n FROM around GROUP BY 1""",
     "multires_zonal": f"""WITH e AS ({_points_sql('events', 'event_id', 'value')}), z AS (SELECT CASE WHEN id % 7 <> 0 THEN value END AS valid, size, lon, lat FROM e, (VALUES (1), (4)) t(size))
         SELECT CAST(size AS INTEGER) AS size, CAST(floor(lon / size) AS BIGINT) * 1000 + CAST(floor(lat / size) AS BIGINT) AS cell, round(avg(valid), 6) AS mean, round(count(valid) / count(*), 6) AS coverage FROM z GROUP BY 1, 2""",
     "point_in_polygon": _hexagon_sql(),
