@@ -33,9 +33,17 @@ _SQL: dict[str, str | tuple[str, str]] = {
     "join_01_inner_using": "SELECT n_name, r_name FROM {nation} JOIN {region} ON n_regionkey = r_regionkey",
     "join_02_aggregate_key": "WITH least AS (SELECT s_nationkey, min(s_acctbal) AS low FROM {supplier} GROUP BY s_nationkey) SELECT s.s_suppkey, s.s_nationkey FROM {supplier} s JOIN least l ON s.s_nationkey = l.s_nationkey AND s.s_acctbal = l.low",
     "join_03_left_outer": "SELECT c.c_custkey, o.o_orderkey FROM {customer} c LEFT JOIN {orders} o ON c.c_custkey = o.o_custkey",
-    "join_04_left_on_expression": "SELECT n.n_name, r.r_name FROM {nation} n LEFT JOIN {region} r ON lower(r.r_name) = lower(n.n_name) OR r.r_regionkey = n.n_regionkey - 1",
+    "join_04_left_on_expression": (
+        # two equi joins: an OR would be a nested loop over a broadcast of any size
+        "WITH m AS (SELECT n_nationkey, r_name FROM {nation} JOIN {region} ON lower(r_name) = lower(n_name) UNION SELECT n_nationkey, r_name FROM {nation} JOIN {region} ON r_regionkey = n_regionkey - 1) SELECT n.n_name, m.r_name FROM {nation} n LEFT JOIN m USING (n_nationkey)",
+        "SELECT n.n_name, r.r_name FROM {nation} n LEFT JOIN {region} r ON lower(r.r_name) = lower(n.n_name) OR r.r_regionkey = n.n_regionkey - 1",
+    ),
     "join_05_multi_column": "SELECT a.l_orderkey, a.l_linenumber, b.n FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM {lineitem}) a LEFT JOIN (SELECT l_orderkey, l_linenumber, CAST(count(*) AS BIGINT) AS n FROM {lineitem} WHERE l_quantity > 25 GROUP BY l_orderkey, l_linenumber) b USING (l_orderkey, l_linenumber)",
-    "join_06_not_in": "SELECT c_custkey FROM {customer} WHERE c_custkey NOT IN (SELECT o_custkey FROM {orders} WHERE o_custkey IS NOT NULL)",
+    "join_06_not_in": (
+        # keys are not null: an anti join, where NOT IN would broadcast the orders
+        "SELECT c_custkey FROM {customer} WHERE NOT EXISTS (SELECT 1 FROM {orders} WHERE o_custkey = c_custkey AND o_totalprice > 300000)",
+        "SELECT c_custkey FROM {customer} WHERE c_custkey NOT IN (SELECT o_custkey FROM {orders} WHERE o_custkey IS NOT NULL AND o_totalprice > 300000)",
+    ),
     "join_07_not_exists": "SELECT c_custkey FROM {customer} c WHERE NOT EXISTS (SELECT 1 FROM {orders} o WHERE o.o_custkey = c.c_custkey AND o.o_orderstatus = 'F')",
     "join_08_semi": "SELECT s_suppkey FROM {supplier} WHERE s_nationkey IN (SELECT n_nationkey FROM {nation} WHERE n_regionkey IN (1, 3))",
     "join_14_list_membership": ("WITH lists AS (SELECT n_regionkey, collect_list(n_nationkey) AS members FROM {nation} GROUP BY n_regionkey) SELECT c.c_custkey, m.n_regionkey FROM (SELECT n_regionkey, explode(members) AS nation FROM lists) m JOIN {customer} c ON c.c_nationkey = m.nation", "WITH lists AS (SELECT n_regionkey, list(n_nationkey) AS members FROM {nation} GROUP BY n_regionkey) SELECT c.c_custkey, m.n_regionkey FROM lists m JOIN {customer} c ON list_contains(m.members, c.c_nationkey)"),
@@ -71,7 +79,7 @@ _SQL: dict[str, str | tuple[str, str]] = {
     "ord_06_tuple_minimum": ("SELECT n_regionkey, array_min(collect_list(struct(length(n_name) AS size, n_name AS name))).name AS shortest FROM {nation} GROUP BY n_regionkey", "SELECT n_regionkey, arg_min(n_name, row(length(n_name), n_name)) AS shortest FROM {nation} GROUP BY n_regionkey"),
     "ord_07_latest": "SELECT max(o_orderdate) AS latest FROM {orders} WHERE o_orderdate < (SELECT max(o_orderdate) FROM {orders})",
     "set_01_union_all": "SELECT CAST(r_regionkey AS BIGINT) AS id, r_name AS name, 'region' AS kind FROM {region} UNION ALL SELECT CAST(n_nationkey AS BIGINT), n_name, 'nation' FROM {nation}",
-    "set_04_difference": "SELECT n_nationkey FROM {nation} EXCEPT SELECT s_nationkey FROM {supplier}",
+    "set_04_difference": "SELECT c_custkey FROM {customer} EXCEPT SELECT o_custkey FROM {orders} WHERE o_totalprice > 300000",
     # scalars
     "str_01_concat": "SELECT n_nationkey, n_name || '-' || CAST(n_regionkey AS VARCHAR(10)) AS label FROM {nation}",
     "str_02_05_trim_lower_coalesce": "SELECT n_nationkey, coalesce(nullif(trim('  ' || lower(substr(n_name, 1, n_nationkey % 3)) || ' '), ''), 'none') AS tag FROM {nation}",

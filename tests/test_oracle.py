@@ -52,3 +52,19 @@ def test_rows(spark, sf_dir, oracle, key):
 
 def test_every_oracle_has_a_query():
     assert set(SQL) <= set(registry.queries())
+
+
+@pytest.mark.parametrize("key", ["join_06_not_in", "set_04_difference"])
+def test_differences_have_rows(spark, sf_dir, key):
+    assert registry.queries()[key](spark, sf_dir).count() > 0
+
+
+def test_no_broadcast_of_any_size(spark, sf_dir):
+    """Neither NOT IN nor OR in a join's condition brings a broadcast that no setting bounds."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for key in ("join_04_left_on_expression", "join_06_not_in"):
+            assert "Broadcast" not in registry.queries()[key](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
