@@ -35,11 +35,11 @@ def content_digest(df: DataFrame) -> str:
     return hashlib.sha256(f"{r.n}:{r.x}:{r.y}".encode()).hexdigest()
 
 
-def write_entity(df: DataFrame, contract: Contract, root: str, layer: str = "silver", single_file: bool = True) -> dict:
+def write_entity(df: DataFrame, contract: Contract, root: str, layer: str = "silver", single_file: bool = False) -> dict:
     """Write the table sorted by its key and publish it by renaming; returns a summary.
 
-    A table of small cardinality is one sorted file; a large one is written in
-    sorted ranges of the key instead (``single_file=False``).
+    It is written in sorted ranges of the key, as many as its size asks for
+    (adaptive execution makes one of a small table), or as a single file.
     """
     spark = df.sparkSession
     keys = [F.col(k).asc_nulls_last() for k in contract.primary_key]

@@ -62,3 +62,25 @@ def test_components_of_chains_and_loners(spark):
 
 def test_contract_is_a_value():
     assert dataclasses.replace(PLACE, count_min=2) != PLACE
+
+
+def test_order_by_what_builders_name():
+    """A builder's parameters name the tables that it reads."""
+    known = {"station", "rail"}
+    assert runner.needs(lambda station, rail: None, known) == ["station", "rail"] and runner.needs(lambda t: None, known) == []
+
+
+def test_built_in_order(spark, tmp_path):
+    built = []
+
+    def place():
+        built.append("place")
+        return places(spark, [("1", "a"), ("2", "b")])
+
+    def total_of(place):
+        built.append("total")
+        return place.groupBy("kind").agg(F.count("*").alias("n")).withColumn("license", F.lit("L"))
+
+    tables = {}
+    runner.build_layer(spark, {"total": total_of, "place": lambda t: place()}, {"place": PLACE, "total": SUM}, f"file://{tmp_path}", "silver", tables)
+    assert built == ["place", "total"] and set(tables) == {"place", "total"}
