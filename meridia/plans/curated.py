@@ -225,7 +225,3 @@ def grid_metric(population: DataFrame, light: DataFrame, points: DataFrame, rail
 def vertices_of(shape: str) -> Column:
     kind = "array<struct<lon:double,lat:double>>"
     return geometry.arrow_rows(kind, lambda s: [{"lon": x, "lat": y} for x, y in geometry.read_wkb(s).coordinates().tolist()])(shape)
-
-
-def distances_planar(a: DataFrame, x1: str, y1: str, x2: str, y2: str) -> DataFrame:
-    return a.withColumn("distance", planar_distance(F.col(x1), F.col(y1), F.col(x2), F.col(y2)))

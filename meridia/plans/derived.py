@@ -95,17 +95,23 @@ def center_to_shinkansen(poi: DataFrame, hubs: DataFrame) -> DataFrame:
     c = with_xy(poi.where(F.col("category") == "pokemon_center")).select("poi_id", F.col("name_ja").alias("center_name"), F.col("geometry").alias("a"), "lon", "lat")
     h = with_xy(hubs).select("station_key", F.col("name_ja").alias("station_name"), F.col("geometry").alias("b"), F.col("lon").alias("h_lon"), F.col("lat").alias("h_lat"))
     best = spatial.nearest_of_few(c, h, "poi_id", "station_key", ("lon", "lat"), ("h_lon", "h_lat"))
-    return best.join(c, "poi_id").join(h, "station_key").select("poi_id", "center_name", "station_key", "station_name", (F.col("distance_m") / 1000).alias("distance_km"), F.lit(S.SEED_LICENSE).alias("license"), _segment("a", "b").alias("geometry"))
+    return best.join(c, "poi_id").join(h, "station_key").select("poi_id", "center_name", "station_key", "station_name", (F.col("distance_m") / 1000).alias("distance_km"), F.lit(S.MAP_LICENSE).alias("license"), _segment("a", "b").alias("geometry"))
 
 
-def null_findings(spark: SparkSession, report: Mapping, null_island: int, license: str = "LicenseRef-report") -> DataFrame:
+#: The license of what is told from the quality report, and the finding on the base map's left-out point.
+REPORT_LICENSE = "LicenseRef-quality-report"
+NULL_ISLAND = ("natural_earth_null_island", "Null Island en Natural Earth", "natural_earth", "Elemento ficticio en 0°, 0° (featurecla = 'Null island') en las capas de costas y tierra; se excluye del mapa base.")
+
+
+def null_findings(spark: SparkSession, report: Mapping, null_island: int, license: str = REPORT_LICENSE) -> DataFrame:
     """The report's findings on coverage, and the base map's left-out point."""
     rows = [(f["id"], f["title"], f["value"], f["total"], f["share"], f["source"], f["detail"], license) for f in report["coverage"]]
-    rows.append(("natural_earth_null_island", "Null island in the base map", null_island, None, None, "natural_earth", "A point that does not exist, at 0, 0.", license))
+    name, title, source, detail = NULL_ISLAND
+    rows.append((name, title, null_island, None, None, source, detail, license))
     return spark.createDataFrame(rows, "finding_id string, title string, value bigint, total bigint, share double, source string, detail string, license string")
 
 
-def null_rates_by_prefecture(spark: SparkSession, report: Mapping, contracts: Mapping, license: str = "LicenseRef-report") -> DataFrame:
+def null_rates_by_prefecture(spark: SparkSession, report: Mapping, contracts: Mapping, license: str = REPORT_LICENSE) -> DataFrame:
     """The report's null rates of tables that group them by prefecture, as rows."""
     rows = [(e, c, g, f["rows"], f["nulls"], f["rate"], license) for e, columns in report["informative"]["null_rates"].items() if contracts[e].null_report_by == "prefecture_code" for c, own in columns.items() for g, f in own["by"].items()]
     return spark.createDataFrame(rows, "entity string, column_name string, prefecture_code string, row_count bigint, null_count bigint, rate double, license string")
@@ -128,7 +134,7 @@ def intersecting(df: DataFrame, shape: bytes) -> DataFrame:
     return near.withColumn("_s", F.lit(bytearray(shape))).where(geometry.shapes_intersect("geometry", "_s")).drop("_s")
 
 
-#: The views that are plain SQL over the tables, by day.
+#: The views that are plain SQL over the tables, by day; their names, columns, aliases and literals are published.
 VIEWS = {
     1: "SELECT poi_id, category, name_ja, name_en, name_es, prefecture_code, game_region, geometry FROM poi WHERE category IN ('pokemon_center', 'poke_lids')",
     3: "SELECT 'game_region' AS layer, region_id AS id, name_ja, name_en, name_es, confidence, geometry FROM game_region UNION ALL SELECT 'prefecture', prefecture_code, name_ja, name_en, name_es, NULL, geometry FROM prefecture",
@@ -171,7 +177,3 @@ def day_view(spark: SparkSession, day: int, tables: Mapping[str, DataFrame]) ->
 
 
 DAYS = tuple(sorted([*VIEWS, 2, 26]))
-
-
-def unions(df: DataFrame, key: str) -> DataFrame:
-    return per_group(df, key, "geometry", Topology(df.sparkSession).union)

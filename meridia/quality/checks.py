@@ -124,7 +124,3 @@ def cross_check(left: DataFrame, right: DataFrame, key: str, column: str) -> Dat
 def missing_keys(df: DataFrame, reference: DataFrame, column: str, other: str) -> DataFrame:
     """Values of ``column`` that the reference does not have; nulls are no values."""
     return df.select(column).where(F.col(column).isNotNull()).distinct().join(reference.select(F.col(other).alias(column)), column, "left_anti")
-
-
-def combine(tables: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, tables)
