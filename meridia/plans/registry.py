@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from meridia.operators.storage import ship_package
 
 #: Modules with ``QUERIES`` and ``ORACLE_SQL`` dictionaries.
-MODULES: tuple[str, ...] = ("inventory", "spatial", "reports", "streams")
+MODULES: tuple[str, ...] = ("inventory", "spatial", "reports", "streams", "country")
 
 
 def _merged(name: str) -> dict:
