@@ -109,6 +109,13 @@ def poi(raw: DataFrame, seed: DataFrame, places: DataFrame, regions: DataFrame)
     return joined.select("poi_id", "source", "source_id", "category", "name_ja", "name_en", "name_es", "plant_source", "plant_output_mw", "address_ja", "prefecture_code", "prefecture_method", "game_region", hexgrid.cell_of(lon, lat, 7).alias("h3_r7"), hexgrid.cell_of(lon, lat, 9).alias("h3_r9"), "license", point_wkb(lon, lat).alias("geometry"))
 
 
+def poi_counts(raw: DataFrame, seed: DataFrame) -> DataFrame:
+    """One row: elements that hand-made points replace, and those whose name changes their category."""
+    e = elements(raw, S.POINT_PRECEDENCE).select(F.concat(F.lit("osm:"), "key").alias("poi_id"), "category", text.by_prefix(name_local(), F.col("category"), S.BY_NAME).alias("named"))
+    own = seed.select(F.col("coords_osm").alias("poi_id"), F.lit(True).alias("own")).where("poi_id IS NOT NULL").distinct()
+    return e.join(own, "poi_id", "left").agg(F.count("own").alias("replaced"), F.count_if(F.col("named") != F.col("category")).alias("reclassified"))
+
+
 def rail(raw: DataFrame) -> DataFrame:
     """Lines of at least two vertices with their geodesic length."""
     e = elements(raw, S.RAIL_PRECEDENCE).where((F.col("type") == "way") & (F.size("geometry") >= 2)).withColumn("geometry", geometry.line_wkb(F.col("geometry")))

@@ -11,7 +11,7 @@ from meridia.functions import geometry as g
 from meridia.operators import dedup
 from meridia.operators.matching import choose
 from meridia.plans import curated, derived
-from meridia.quality import checks, contracts
+from meridia.quality import checks, contracts, findings
 from meridia.sources import readers
 
 TABLES = Path(contracts.__file__).parent / "tables"
@@ -209,3 +209,30 @@ def test_views_findings_and_viewshed(spark, poi, rail, station, prefecture, regi
     for day, rows in ((1, 4), (2, 2), (3, 4), (15, 0), (19, 1), (21, 9), (22, 2), (23, 2), (30, 4)):
         assert derived.day_view(spark, day, tables).count() == rows, day
     assert len(derived.DAYS) == 24
+
+
+def test_coverage_findings(spark, poi, poi_raw, rail, station, elements):
+    seed = spark.createDataFrame([("osm:node/8",), (None,)], "coords_osm string")
+    stop = spark.createDataFrame([("東海道新幹線 (下り)",), ("東海道新幹線 (上り)",), (None,)], "route_name string")
+    light = spark.createDataFrame([("night_light", 8, None, "JP-13"), ("night_light", 8, None, None), ("night_light", 8, None, None), ("night_light", 8, 1.0, "JP-13"), ("population", 8, None, "JP-13")], "metric string, resolution int, value double, prefecture_code string")
+    tables = {
+        "poi": poi, "rail": rail, "station": station, "poi_counts": curated.poi_counts(poi_raw, seed), "shinkansen_route_stop": stop, "h3_metric": light,
+        "building": spark.createDataFrame([(1.0, None), (None, 2), (3.0, None)], "height_m double, levels int"),
+        "game_places": spark.createDataFrame([("a", "x"), ("a", "y"), ("b", None)], "place string, based_on string"),
+        "game_regions": spark.createDataFrame([("Q1", "Kanto"), ("Q2", "Orre"), ("Q3", "Fiore")], "region string, name_en string"),
+        "based_regions": spark.createDataFrame([("Q1",), ("Q1",)], "region string"),
+        "dishes": spark.createDataFrame([("d", "JP-01"), ("d", "JP-02"), ("e", None)], "dish string, iso string"),
+        "coverage_references": spark.createDataFrame([("poke_lids_total", "400", "n", "2026", "https://a")], "reference_id string, value string, notes string, as_of string, source_url string"),
+    }
+    told = {f["id"]: f for f in (fact(tables) for fact in findings.available(tables))}
+    assert len(told) == len(findings.FACTS) == 12
+    figures = {k: (f["value"], f["total"]) for k, f in told.items()}
+    assert figures["wikidata_p144_places"] == (1, 2) and figures["wikidata_p144_regions"] == (1, 3) and told["wikidata_p144_regions"]["detail"] == "Sin P144: Fiore, Orre."
+    assert figures["osm_pokemon_cafe_brand"] == (1, 2) and figures["osm_center_store_brand"] == (1, None) and figures["osm_station_lines"] == (1, 4)
+    assert figures["osm_building_height"] == (2, 3) and figures["osm_building_levels"] == (1, 3) and figures["osm_poke_lids"] == (3, 400)
+    assert figures["points_without_prefecture"] == (1, None) and told["points_without_prefecture"]["detail"].startswith("0 en las Kuriles")
+    assert figures["osm_shinkansen_routes"] == (1, 1) and "東海道新幹線." in told["osm_shinkansen_routes"]["detail"]
+    assert figures["wikidata_regional_dishes"] == (2, 47) and told["wikidata_regional_dishes"]["detail"].startswith("1 de 2 platos") and "ninguno: JP-03, JP-04" in told["wikidata_regional_dishes"]["detail"]
+    assert figures["viirs_night_light_null"] == (3, 4) and told["viirs_night_light_null"]["detail"].endswith("(sin prefectura): 2, JP-13: 1")
+    empty = {k: df.limit(0) for k, df in tables.items() if k != "coverage_references"}
+    assert {f["value"] for f in (fact(empty) for fact in findings.available(empty))} <= {0, None}
