@@ -11,8 +11,8 @@ DuckDB has neither here.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator, Mapping
 from functools import partial
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,10 +20,10 @@ from pyspark.sql.types import DataType
 
 from meridia.functions import geometry
 from meridia.functions.points import box_wkt
-from meridia.plans import curated, derived
+from meridia.plans import assemble, derived, runner
 from meridia.plans import settings as S
 from meridia.plans.spatial import HAVERSINE, LAT, LON
-from meridia.quality import checks, contracts, gate
+from meridia.quality import checks, gate
 from meridia.sources.readers import ELEMENT
 
 SOURCES = ("nation", "region", "customer", "supplier", "orders", "lineitem")
@@ -92,104 +92,97 @@ def _corners(*places: tuple[float, float]) -> Column:
     return F.array(*(F.struct((F.col("lat") + y).alias("lat"), (F.col("lon") + x).alias("lon")) for x, y in places))
 
 
-class Country:
-    """The tables by name, each made when it is asked for, by the function of its name."""
+def sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The country's raw tables, as ``plans.assemble`` names them."""
+    rows = partial(_rows, spark, sf_dir)
+    place = {"lon": F.col("lon"), "lat": F.col("lat")}
+    poi = _elements(rows("pois"), "node", F.col("category"), {"name": "name", "name:en": "en", "plant:source": "source", "plant:output:electricity": "output"}, **place)
+    path = F.slice(_corners((0.0, 0.0), (0.05, 0.0)), F.lit(1), F.col("vertices"))
+    member = F.struct(F.lit("node").alias("type"), F.col("ref").cast("bigint").alias("ref"), "role", F.lit(None).cast("array<struct<lat:double,lon:double>>").alias("geometry"))
+    listed = rows("stops").groupBy("route").agg(F.transform(F.array_sort(F.collect_list(F.struct("position", member.alias("m")))), lambda s: s["m"]).alias("members"))
+    listed = listed.select(F.concat(F.lit("relation/"), F.col("route").cast("string")).alias("key"), F.concat(F.lit("R"), F.col("route").cast("string")).alias("name"), "members")
+    based = rows("based")
+    return {
+        "admin": _boxed(rows("admin")),
+        "prefecture_names": rows("names"),
+        "prefecture_homes": rows("homes"),
+        "region_seed": rows("games"),
+        "region_names": rows("game_names"),
+        "place_seed": rows("seed_places"),
+        "outside_seed": rows("seed_outside"),
+        "based_on": based.drop("name_en"),
+        "outside_names": based.select("region", "name_en"),
+        "game_releases": rows("releases"),
+        "generations": rows("generations"),
+        "poi_elements": poi,
+        "cafe_seed": rows("cafes"),
+        "rail_elements": _elements(rows("rails"), "way", F.col("category"), {"name": "name"}, geometry=path),
+        "station_elements": _elements(rows("stations"), "node", F.lit("station"), {"name": "name", "line": "line"}, **place),
+        "building_elements": _buildings(rows("buildings")),
+        "route_elements": _elements(listed, "relation", F.lit("shinkansen_routes"), {"name": "name"}, members=F.col("members")),
+        "stop_nodes": rows("nodes"),
+        "line_seed": rows("lines"),
+        "layer_coastline": _boxed(rows("coast")),
+        "layer_bathymetry": _boxed(rows("deep")),
+    }
+
+
+def _buildings(rows: DataFrame) -> DataFrame:
+    """Squares as ways, every seventh not closed; every fifth is a relation with a hole."""
+    ring = ((0.0, 0.0), (0.01, 0.0), (0.01, 0.01), (0.0, 0.01), (0.0, 0.0))
+    hole = ((0.004, 0.004), (0.006, 0.004), (0.006, 0.006), (0.004, 0.006), (0.004, 0.004))
+    rows = rows.withColumn("key", F.concat(F.when(F.col("k") % 5 == 4, "relation/").otherwise("way/"), F.col("k").cast("string")))
+    tags = {"name": "name", "height": "height", "building:levels": "storeys", "building": "name"}
+    path = F.when(F.col("k") % 7 == 0, _corners(*ring[:4])).otherwise(_corners(*ring))
+    member = lambda role, *places: F.struct(F.lit("way").alias("type"), F.lit(1).cast("bigint").alias("ref"), F.lit(role).alias("role"), _corners(*places).alias("geometry"))
+    parts = F.array(member("outer", *ring[:3]), member("outer", *ring[2:]), member("inner", *hole))
+    ways = _elements(rows.where("k % 5 <> 4"), "way", F.lit("buildings"), tags, geometry=path)
+    return ways.union(_elements(rows.where("k % 5 = 4"), "relation", F.lit("buildings"), tags, members=parts))
+
+
+class Country(Mapping):
+    """The tables by name, each made by its builder when it is asked for."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
-        self.spark, self.rows = spark, partial(_rows, spark, sf_dir)
+        self.spark, self.rows, self.sources = spark, partial(_rows, spark, sf_dir), sources(spark, sf_dir)
+        self.silver = assemble.silver_builders(self.sources)
         self.made: dict[str, DataFrame] = {}
 
+    def __iter__(self) -> Iterator[str]:
+        return iter((*CURATED, *DERIVED, *GIVEN))
+
+    def __len__(self) -> int:
+        return len((*CURATED, *DERIVED, *GIVEN))
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self.made:
-            self.made[name] = self.given(name) if name in GIVEN else getattr(self, name)()
+            self.made[name] = self.given(name) if name in GIVEN else self.build(name)
         return self.made[name]
 
+    def build(self, name: str) -> DataFrame:
+        told = self.report(name) if name in REPORTED else {}
+        left_out = assemble.null_island(self.sources) if name in REPORTED else 0
+        builder = self.silver.get(name) or assemble.gold_builders(self.spark, told, left_out)[name]
+        wanted = runner.needs(builder, set(self))
+        return builder(**{t: self[t] for t in wanted}) if wanted else builder(self)
+
     def given(self, name: str) -> DataFrame:
         df = self.rows(name)
         lists = {c: F.array(c) for c in ("members", "prefecture_codes") if c in df.columns}
         return (_boxed(df) if "west" in df.columns else df).withColumns(lists)
 
-    def prefecture(self) -> DataFrame:
-        return curated.prefecture(_boxed(self.rows("admin")), self.rows("names"), self.rows("homes"))
-
-    def game_region(self) -> DataFrame:
-        return curated.game_region(self.rows("games"), self.rows("game_names"), self["prefecture"])
-
-    def game_place(self) -> DataFrame:
-        return curated.game_place(self.rows("seed_places"))
-
-    def outside_region(self) -> DataFrame:
-        based = self.rows("based")
-        return curated.outside_region(self.rows("seed_outside"), based.drop("name_en"), based.select("region", "name_en"), self.rows("releases"), self.rows("generations"))
-
-    def poi(self) -> DataFrame:
-        tags = {"name": "name", "name:en": "en", "plant:source": "source", "plant:output:electricity": "output"}
-        raw = _elements(self.rows("pois"), "node", F.col("category"), tags, lon=F.col("lon"), lat=F.col("lat"))
-        return curated.poi(raw, self.rows("cafes"), self["prefecture"], self["game_region"])
-
-    def rail(self) -> DataFrame:
-        path = F.slice(_corners((0.0, 0.0), (0.05, 0.0)), F.lit(1), F.col("vertices"))
-        return curated.rail(_elements(self.rows("rails"), "way", F.col("category"), {"name": "name"}, geometry=path))
-
-    def station(self) -> DataFrame:
-        raw = _elements(self.rows("stations"), "node", F.lit("station"), {"name": "name", "line": "line"}, lon=F.col("lon"), lat=F.col("lat"))
-        return curated.station(raw, self["prefecture"])
-
-    def building(self) -> DataFrame:
-        ring = ((0.0, 0.0), (0.01, 0.0), (0.01, 0.01), (0.0, 0.01), (0.0, 0.0))
-        hole = ((0.004, 0.004), (0.006, 0.004), (0.006, 0.006), (0.004, 0.006), (0.004, 0.004))
-        rows = self.rows("buildings").withColumn("key", F.concat(F.when(F.col("k") % 5 == 4, "relation/").otherwise("way/"), F.col("k").cast("string")))
-        tags = {"name": "name", "height": "height", "building:levels": "storeys", "building": "name"}
-        # every seventh way is not closed and has no area
-        path = F.when(F.col("k") % 7 == 0, _corners(*ring[:4])).otherwise(_corners(*ring))
-        ways = _elements(rows.where("k % 5 <> 4"), "way", F.lit("buildings"), tags, geometry=path)
-        member = lambda role, *places: F.struct(F.lit("way").alias("type"), F.lit(1).cast("bigint").alias("ref"), F.lit(role).alias("role"), _corners(*places).alias("geometry"))
-        parts = F.array(member("outer", *ring[:3]), member("outer", *ring[2:]), member("inner", *hole))
-        return curated.building(ways.union(_elements(rows.where("k % 5 = 4"), "relation", F.lit("buildings"), tags, members=parts)))
-
-    def basemap(self) -> DataFrame:
-        return curated.basemap({"coastline": _boxed(self.rows("coast")), "bathymetry": _boxed(self.rows("deep"))})
-
-    def shinkansen_route_stop(self) -> DataFrame:
-        member = F.struct(F.lit("node").alias("type"), F.col("ref").cast("bigint").alias("ref"), "role", F.lit(None).cast("array<struct<lat:double,lon:double>>").alias("geometry"))
-        listed = self.rows("stops").groupBy("route").agg(F.transform(F.array_sort(F.collect_list(F.struct("position", member.alias("m")))), lambda s: s["m"]).alias("members"))
-        listed = listed.select(F.concat(F.lit("relation/"), F.col("route").cast("string")).alias("key"), F.concat(F.lit("R"), F.col("route").cast("string")).alias("name"), "members")
-        return curated.route_stops(_elements(listed, "relation", F.lit("shinkansen_routes"), {"name": "name"}, members=F.col("members")), self.rows("nodes"), self["station"])
-
-    def shinkansen_line_station(self) -> DataFrame:
-        return curated.line_stations(self.rows("lines"), self["station"], self["rail"])
-
-    def power_plants_kanto(self) -> DataFrame:
-        return derived.power_plants(self["poi"])
-
-    def center_nearest_station(self) -> DataFrame:
-        return derived.center_nearest_station(self["poi"], self["station"])
-
-    def shinkansen_stations(self) -> DataFrame:
-        return derived.shinkansen_stations(self["shinkansen_line_station"].where("station_id IS NOT NULL"))
-
-    def shinkansen_edges(self) -> DataFrame:
-        return derived.shinkansen_edges(self["shinkansen_line_station"].where("station_id IS NOT NULL"))
-
-    def center_to_shinkansen(self) -> DataFrame:
-        return derived.center_to_shinkansen(self["poi"], self["shinkansen_stations"])
-
-    def null_findings(self) -> DataFrame:
-        tell = gate.share_of_rows("poi_placed", "Placed", "poi", "prefecture_code IS NOT NULL", source="osm")
-        left_out = self.rows("coast").where("featurecla = 'Null island'").count()
-        return derived.null_findings(self.spark, {"coverage": [tell(self)]}, left_out)
-
-    def null_rates_by_prefecture(self) -> DataFrame:
+    def report(self, name: str) -> dict:
+        """The part of the gate's report that a table tells."""
+        if name == "null_findings":
+            return {"coverage": [gate.share_of_rows("poi_placed", "Placed", "poi", "prefecture_code IS NOT NULL", source="osm")(self)]}
         columns: dict[str, dict] = {}
         for r in checks.null_rates(self["poi"], ["name_en", "plant_source"], "prefecture_code").where("grp IS NOT NULL").collect():
             columns.setdefault(r.column_name, {"by": {}})["by"][r.grp] = {"rows": r.row_count, "nulls": r.null_count, "rate": r.rate}
-        known = {c.entity: c for c in contracts.load(Path(contracts.__file__).parent / "tables" / "silver").values()}
-        return derived.null_rates_by_prefecture(self.spark, {"informative": {"null_rates": {"poi": columns}}}, known)
-
-    def osm_summary(self) -> DataFrame:
-        return derived.osm_summary(*(self[t] for t in ("poi", "rail", "station", "building", "shinkansen_route_stop")))
+        return {"informative": {"null_rates": {"poi": columns}}}
 
 
+#: Tables that tell the gate's report.
+REPORTED = ("null_findings", "null_rates_by_prefecture")
 #: What DuckDB cannot tell, or tells by a series of its own: cells and geodesic lengths.
 UNTOLD = ("h3_r7", "h3_r9", "length_m")
 

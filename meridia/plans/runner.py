@@ -51,14 +51,15 @@ def build_layer(spark: SparkSession, builders: Mapping[str, Builder], contracts:
     return done
 
 
-def run(spark: SparkSession, run_id: str, root: str, local_root: str, silver: Mapping[str, Builder], gold: Mapping[str, Builder], silver_contracts: Mapping[str, Contract], gold_contracts: Mapping[str, Contract], findings: tuple[gate.Finding, ...] = (), check_gold: bool = False) -> dict:
-    """Silver, gate, promotion, gold, lineage. ``root`` is ``local_root`` as Spark names it."""
+def run(spark: SparkSession, run_id: str, root: str, local_root: str, silver: Mapping[str, Builder], gold: Mapping[str, Builder] | Callable[[Mapping], Mapping[str, Builder]], silver_contracts: Mapping[str, Contract], gold_contracts: Mapping[str, Contract], findings: tuple[gate.Finding, ...] = (), check_gold: bool = False) -> dict:
+    """Silver, gate, promotion, gold, lineage. ``root`` is ``local_root`` as Spark names it; ``gold`` may be a function of the gate's report."""
     tables: dict[str, DataFrame] = {}
     made = build_layer(spark, silver, silver_contracts, root, "silver", tables)
     writer.write_lineage(run_id, made, local_root, "silver")
     checked = {e: c for e, c in silver_contracts.items() if e in silver}
     report = gate.run_gate(run_id, checked, tables, f"{local_root}/quality", findings)
     writer.promote(silver, local_root)
+    gold = gold(report) if callable(gold) else gold
     more = build_layer(spark, gold, gold_contracts, root, "gold", tables)
     writer.write_lineage(run_id, more, local_root, "gold")
     if check_gold:

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from meridia.operators import graph
-from meridia.plans import runner
+from meridia.plans import assemble, country, runner
 from meridia.quality import contracts, gate
 from meridia.streaming import landing
 
@@ -84,3 +84,18 @@ def test_built_in_order(spark, tmp_path):
     tables = {}
     runner.build_layer(spark, {"total": total_of, "place": lambda t: place()}, {"place": PLACE, "total": SUM}, f"file://{tmp_path}", "silver", tables)
     assert built == ["place", "total"] and set(tables) == {"place", "total"}
+
+
+def test_a_run_of_the_whole_country(spark, sf_dir, tmp_path):
+    """Every curated table with sources, the gate, and the derived tables of its report, in one run."""
+    sources = country.sources(spark, sf_dir)
+    tables = Path(contracts.__file__).parent / "tables"
+    # the published counts, codes and extent are those of the real country
+    loose = lambda layer: {e: dataclasses.replace(c, count_min=0, count_max=None, count_by=None, geometry_types=(), columns=tuple(dataclasses.replace(x, pattern=None, allowed=None, range=None, nullable=True) for x in c.columns)) for e, c in contracts.load(tables / layer).items()}
+    silver = assemble.silver_builders(sources)
+    gold = lambda report: assemble.gold_builders(spark, report, assemble.null_island(sources))
+    checked = {e: c for e, c in loose("silver").items() if e in silver}
+    done = runner.run(spark, "20260101T000000Z", f"file://{tmp_path}", str(tmp_path), silver, gold, checked, loose("gold"), (gate.share_of_rows("f", "F", "poi", "prefecture_code IS NULL"),))
+    assert {s["entity"] for s in done["silver"]} == set(silver) and len(silver) == 11
+    assert done["tables"]["null_findings"].count() == 2 and done["tables"]["null_rates_by_prefecture"].count() > 20
+    assert done["tables"]["osm_summary"].agg(F.sum("elements")).first()[0] > done["tables"]["rail"].count()
