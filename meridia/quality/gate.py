@@ -68,15 +68,16 @@ def run_gate(run_id: str, contracts: Mapping[str, Contract], tables: Mapping[str
         found.append(checks.Check(entity, "exists", int(df is None)))
         if df is None:
             continue
-        found += checks.run(df, contract, extent)
-        rows[entity] = df.count()
+        own = checks.run(df, contract, extent)
+        found += own
+        rows[entity] = next(c.rows for c in own if c.check == "count")
         report = [c for c in contract.null_report if c in df.columns]
         if report:
             rates[entity] = {}
             for r in checks.null_rates(df, report, contract.null_report_by).collect():
-                own = rates[entity].setdefault(r.column_name, {"by": {}})
+                column = rates[entity].setdefault(r.column_name, {"by": {}})
                 figures = {"rows": r.row_count, "nulls": r.null_count, "rate": r.rate}
-                own["by"].setdefault(r.grp, figures) if r.grp is not None else own.update(figures)
+                column["by"].setdefault(r.grp, figures) if r.grp is not None else column.update(figures)
     before = previous_counts(folder, run_id)
     failed = [c for c in found if not c.passed]
     told = {
