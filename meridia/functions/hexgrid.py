@@ -70,10 +70,10 @@ def cell_of(lon: Column, lat: Column, resolution: int) -> Column:
     size = radius(resolution)
     q = (lon * F.lit(_ROOT3 / 3) - lat / F.lit(3.0)) / F.lit(size)
     r = lat * F.lit(2.0) / F.lit(3.0) / F.lit(size)
-    s = -q - r
     near = lambda x: F.floor(x + F.lit(0.5))
-    nq, nr, ns = near(q), near(r), near(s)
-    dq, dr, ds = F.abs(nq - q), F.abs(nr - r), F.abs(ns - s)
+    nq, nr, ns = near(q), near(r), near(-q - r)
+    # the order of the sum decides about points between two cells: the oracle's SQL has this one
+    dq, dr, ds = F.abs(nq - q), F.abs(nr - r), F.abs(ns + q + r)
     by_q, by_r = (dq > dr) & (dq > ds), (dr > ds)
     return _pack(F.when(by_q, -nr - ns).otherwise(nq), F.when(~by_q & by_r, -nq - ns).otherwise(nr), resolution)
 
