@@ -37,16 +37,15 @@ def name_local() -> Column:
 
 
 def assign_prefecture(points: DataFrame, prefecture: DataFrame, key: str) -> DataFrame:
-    """key, prefecture_code, prefecture_method for points (lon, lat) within a polygon, or near one; others are absent.
+    """key, prefecture_code, prefecture_method for points (lon, lat) within a polygon or on its boundary, or near one; others are absent.
 
     Candidates meet on grid cells of the polygons' envelopes; only they are tested exactly.
     """
     boxes = prefecture.select("prefecture_code", "geometry", geometry.envelope("geometry").alias("b")).select("prefecture_code", "geometry", "b.*")
     near = spatial.box_candidates(points.select(key, "lon", "lat"), boxes, 1.0, S.NEAREST_DEGREES)
-    tested = near.select(key, "prefecture_code", geometry.contains_point("geometry", "lon", "lat").alias("inside"), geometry.distance_to("geometry", "lon", "lat").alias("d"))
-    tested = tested.where(F.col("inside") | (F.col("d") <= S.NEAREST_DEGREES))
-    best = tested.groupBy(key).agg(F.min(F.struct((~F.col("inside")).alias("outside"), F.when(F.col("inside"), 0.0).otherwise(F.col("d")).alias("d"), "prefecture_code")).alias("b"))
-    return best.select(key, "b.prefecture_code", F.when(F.col("b.outside"), "nearest").otherwise("within").alias("prefecture_method"))
+    tested = near.select(key, F.struct(geometry.distance_to("geometry", "lon", "lat").alias("d"), "prefecture_code").alias("b")).where(F.col("b.d") <= S.NEAREST_DEGREES)
+    best = tested.groupBy(key).agg(F.min("b").alias("b"))
+    return best.select(key, "b.prefecture_code", F.when(F.col("b.d") == 0, "within").otherwise("nearest").alias("prefecture_method"))
 
 
 def prefecture(admin: DataFrame, labels: DataFrame, regions: DataFrame, country: str = "JPN") -> DataFrame:

@@ -25,7 +25,7 @@ def on_edges(spark, sf_dir, folder, keys):
     return str(folder), con
 
 
-@pytest.mark.parametrize("query, keys", [("hex_index", (382, 469, 1160, 1481))])
+@pytest.mark.parametrize("query, keys", [("hex_index", (382, 469, 1160, 1481)), ("curated_poi", (3500, 4700, 5300))])
 def test_rows_on_edges(spark, sf_dir, tmp_path, query, keys):
     folder, con = on_edges(spark, sf_dir, tmp_path, keys)
     assert canonical(registry.queries()[query](spark, folder).toPandas()) == canonical(con.execute(registry.oracle_sql()[query]).df())
