@@ -24,6 +24,9 @@ from pyspark.sql import DataFrame
 from .common import freeing, pick, prepare_python
 from .words import ENDINGS, LETTERS, NUMBERS, SPACES, WordStore, beyond_latin, byte_letters
 
+#: Words whose ids a process keeps, and texts that are encoded at once: two processes share an executor's memory with its JVM.
+WORDS, TEXTS = 300_000, 256
+
 #: Cuts a Latin text into words; the space before a word belongs to it.
 WORD = re.compile(f"{ENDINGS}| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^{SPACES}{LETTERS}{NUMBERS}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+")
 
@@ -57,7 +60,7 @@ class ByteBpe:
         self._special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self._path = path
         self._library = None
-        self.store = WordStore(self._encode_distinct)
+        self.store = WordStore(self._encode_distinct, WORDS)
 
     def _edge(self, token: int, right: bool) -> list[tuple[int, int, int]]:
         """Pieces of a token at its right or left end: (piece, rank that makes it, rank that ends it)."""
@@ -185,7 +188,8 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(tokenizer_path)
         for batch in batches:
-            ids = bpe.encode([t or "" for t in batch.column(1).to_pylist()])
+            texts = batch.column(1)
+            ids = [x for at in range(0, len(texts), TEXTS) for x in bpe.encode([t or "" for t in texts.slice(at, TEXTS).to_pylist()])]
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(ids, pa.binary()), pa.array(map(bpe.decode, ids), pa.string())], ["doc_id", "ids", "decoded"])
 
     return pick(docs, doc_id=id_col, text=text_col).mapInArrow(freeing(run), SCHEMA)

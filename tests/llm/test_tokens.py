@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -55,6 +56,22 @@ def test_full_stores_start_anew():
     assert [np.frombuffer(x, "<u4").tolist() for x in bpe.encode(texts)] == list(map(library(BYTES), texts))
 
 
+def test_a_process_keeps_few_words_and_texts(spark, monkeypatch):
+    """Two Python processes share 3000 MB with the executor's JVM."""
+    asked = []
+    bpe = bpe_trie.ByteBpe(BYTES)
+    whole = bpe.encode
+    monkeypatch.setattr(bpe, "encode", lambda texts: asked.append(len(texts)) or whole(texts))
+    monkeypatch.setattr(bpe_trie, "load", lambda path: bpe)
+    taken = []
+    monkeypatch.setattr(bpe_trie, "freeing", lambda run: taken.append(run) or run)
+    bpe_trie.encode_decode(spark.createDataFrame([(1, "a")], "doc_id long, text string"), BYTES)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1024)), pa.array([None if i % 9 == 0 else f"text {i}" for i in range(1024)])], ["doc_id", "text"])
+    (found,) = taken[0](iter([batch]))
+    assert bpe.store.most <= 300_000 and max(asked) <= 256 and sum(asked) == 1024
+    assert found.column(0).to_pylist() == list(range(1024)) and found.column(2).to_pylist() == [t or "" for t in batch.column(1).to_pylist()]
+
+
 def test_encode_decode_all_documents(docs, doc_rows, no_docs):
     expected = Counter()
     for doc_id, text, *_ in doc_rows:
