@@ -42,8 +42,6 @@ NEAR = 64
 SUPPORT = 2
 #: Shares of the entity's information content from which a term is generalised, and removed.
 GENERALISE, REMOVE = 0.7, 0.95
-#: Terms up to which their table is broadcast to count them; more are joined by shuffle.
-BROADCAST_TERMS = 100_000
 
 _ENDS = ".,;:!?)"
 _TERM = rf"(?<=\s)\p{{L}}++(?=[{_ENDS}]*+\s)"
@@ -123,12 +121,9 @@ def occurrences(found: DataFrame) -> DataFrame:
 
 
 def _document_counts(docs: DataFrame, terms: DataFrame, text_col: str) -> DataFrame:
-    """term, n: in how many rows each of the terms occurs, over whole texts."""
+    """term, n: in how many rows each of the terms occurs, over whole texts. Each task counts all its terms first, at any size of either table."""
     tokens = F.array_distinct(F.split(F.lower(F.col("text")), _BETWEEN_TERMS, -1))
     all_terms = pick(docs, text=text_col).where("text IS NOT NULL").select(F.explode(tokens).alias("term"))
-    if terms.count() <= BROADCAST_TERMS:
-        all_terms = all_terms.join(F.broadcast(terms), "term", "left_semi")
-        return all_terms.groupBy("term").agg(F.count("*").alias("n"))
     return all_terms.groupBy("term").agg(F.count("*").alias("n")).join(terms, "term", "left_semi")
 
 

@@ -99,6 +99,16 @@ def test_terms_anywhere_in_the_document(spark):
     assert not any("term" in found[i] for i in range(200))
 
 
+def test_one_plan_counts_terms_at_any_size(spark):
+    """Few terms are counted as many are, so disk grows with the input: the terms are joined when they are counted."""
+    docs = spark.createDataFrame([(1, "Zebulon and zebulon came"), (2, "zebulon, went"), (3, None)], "doc_id long, text string")
+    terms = spark.createDataFrame([("zebulon",), ("went",), ("nowhere",)], "term string")
+    found = pii._document_counts(docs, terms, "text")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("LeftSemi") < plan.index("Aggregate") and "broadcast" not in plan
+    assert sorted(map(tuple, found.collect())) == [("went", 1), ("zebulon", 2)]
+
+
 def test_redaction(spark):
     rows = [(i, f"plain words {i}") for i in range(40)] + [(100, "Ask Zebulon at zeb@mail.org"), (101, "the Zebulon: zeb@mail.org is 🙂 away")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
